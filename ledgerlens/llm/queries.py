@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, common, html, langid
+from ledgerlens.llm import chat, common, fertility, html, langid
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.op2(_read(spark, sf_dir, "documents"))
+
+
 def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.op3(_read(spark, sf_dir, "pages"))
 
@@ -27,6 +31,7 @@ def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_tokenizer_fertility,
         op3_html_blocks,
         op6_chat_prefix_targets,
         op9_language_compression,
