@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, common, fertility, html, langid
+from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, rans
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return rans.op1(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.op2(_read(spark, sf_dir, "documents"))
 
@@ -24,6 +30,10 @@ def op6_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(written))
 
 
+def op7_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op7(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9(_read(spark, sf_dir, "documents"))
 
@@ -31,11 +41,13 @@ def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_range_ans,
         op2_tokenizer_fertility,
         op3_html_blocks,
         op6_chat_prefix_targets,
+        op7_prefix_decontamination,
         op9_language_compression,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_prefix_decontamination": decontaminate.SQL}
