@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, rans
+from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, ngram_lm, rans
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op7(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.op8(_read(spark, sf_dir, "documents"))
+
+
 def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9(_read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
         op3_html_blocks,
         op6_chat_prefix_targets,
         op7_prefix_decontamination,
+        op8_bloom_lm,
         op9_language_compression,
     )
 }
