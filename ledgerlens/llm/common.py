@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +82,22 @@ _FOLD = str.maketrans(UPPER, LOWER)
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
+    """Runs of equal keys of a sorted partition, each as one table; a run may span batches."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        if not len(keys):
+            continue
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if held and keys[a] != current:
+                yield current, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = keys[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield current, pa.Table.from_batches(held).combine_chunks()

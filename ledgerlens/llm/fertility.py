@@ -165,16 +165,14 @@ def verdicts(measured: DataFrame, bands: Bands = Bands()) -> DataFrame:
     off = both.join(near, F.col("band_group").eqNullSafe(F.col("g"))).select("band_group", *(F.abs(F.col(m) - F.col(f"mid_{m}")).alias(m) for m in metrics))
     spread = off.groupBy("band_group").agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mad_{m}") for m in metrics))
     stats = mids.join(spread.withColumnRenamed("band_group", "g"), F.col("band_group").eqNullSafe(F.col("g"))).drop("g")
-    whole = stats.filter("band_group is null").select(*(F.col(f"{a}_{m}").alias(f"all_{a}_{m}") for a in ("mid", "mad") for m in metrics), F.lit(1).alias("one_"))
+    found = stats.filter("band_group is null").first()
+    whole = found.asDict() if found else {}
     own = stats.filter(F.col("band_group").isNotNull() & (F.col("n") >= bands.min_group)).drop("n").withColumnRenamed("band_group", "group_")
-    rows = measured.withColumn("group_key_", f["band_group"]).withColumn("one_key_", F.lit(1))
-    # both sides are a row for each language, and one row
-    joined = rows.join(own, F.col("group_key_") == F.col("group_"), "left").join(whole, F.col("one_key_") == F.col("one_"), "left")
+    joined = measured.withColumn("group_key_", f["band_group"]).join(own, F.col("group_key_") == F.col("group_"), "left")  # a row for each language
 
     def z(m: str):
-        mid = F.coalesce(F.col(f"mid_{m}"), F.col(f"all_mid_{m}"))
-        mad = F.greatest(F.coalesce(F.col(f"mad_{m}"), F.col(f"all_mad_{m}")) * 1.4826, F.abs(mid) * 0.005, F.lit(1e-4))
-        return F.coalesce((F.col("fertility_")[m] - mid) / mad, F.lit(0.0))
+        mid, mad = (F.coalesce(F.col(f"{x}_{m}"), F.lit(whole.get(f"{x}_{m}")).cast("double")) for x in ("mid", "mad"))
+        return F.coalesce((F.col("fertility_")[m] - mid) / F.greatest(mad * 1.4826, F.abs(mid) * 0.005, F.lit(1e-4)), F.lit(0.0))
 
     chars, share, bits = (z(m) for m in metrics)
     inside = (chars + bits >= bands.joint) & (bits >= bands.entropy) & chars.between(bands.chars_low, bands.chars_high) & (share <= bands.byte_share)

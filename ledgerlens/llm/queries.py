@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, ngram_lm, rans
+from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, neardup, ngram_lm, pii, rans
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.op3(_read(spark, sf_dir, "pages"))
 
 
+def op5_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.join(_read(spark, sf_dir, "documents"))
+
+
 def op6_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = common.cut(chat.examples(chat.with_probe(_read(spark, sf_dir, "conversations"))), "chat")
     return chat.digest(chat.read_back(written))
@@ -42,16 +46,22 @@ def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9(_read(spark, sf_dir, "documents"))
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op10(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_range_ans,
         op2_tokenizer_fertility,
         op3_html_blocks,
+        op5_bayes_jaccard_join,
         op6_chat_prefix_targets,
         op7_prefix_decontamination,
         op8_bloom_lm,
         op9_language_compression,
+        op10_pii_surrogates,
     )
 }
 
