@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, neardup, ngram_lm, pii, rans
+from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, lattice, neardup, ngram_lm, pii, rans
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.op3(_read(spark, sf_dir, "pages"))
 
 
+def op4_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice.op4(_read(spark, sf_dir, "documents"), lattice.load(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op5_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.join(_read(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ QUERIES = {
         op1_range_ans,
         op2_tokenizer_fertility,
         op3_html_blocks,
+        op4_sentencepiece_lattice,
         op5_bayes_jaccard_join,
         op6_chat_prefix_targets,
         op7_prefix_decontamination,
