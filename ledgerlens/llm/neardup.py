@@ -285,7 +285,11 @@ def join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> Da
 
 def deduplicate(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """docs without those rows whose class has a row with a lesser doc_id; of repeated rows with one doc_id, one stays."""
-    classes = join(docs, threshold).select(F.col("doc_id").alias("doc_"), "class_id")
-    first = Scratch(classes.filter("doc_ <> class_id").select("doc_").distinct(), "others").read()
-    kept = docs.join(first, docs["doc_id"].cast("long") == F.col("doc_"), "left_anti")
+    classes = Scratch(join(docs, threshold).select(F.col("doc_id").alias("doc_"), "class_id"), "classes").read()
+    others = classes.filter("doc_ <> class_id").select("doc_").distinct()
+    kept = docs.join(others, docs["doc_id"].cast("long") == F.col("doc_"), "left_anti")
+    repeated = classes.filter("doc_ = class_id").groupBy("doc_").count().filter("count > 1").limit(1).count()
+    if repeated:
+        named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+        kept = named.unionByName(kept.filter("doc_id is null"))
     return kept
