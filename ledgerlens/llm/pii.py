@@ -36,8 +36,16 @@ PATTERNS = {
 }
 TYPES = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A cheap test that every entity passes.
-_HINT = rf"@|[0-9]{{2}}|[0-9]\.[0-9]|\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
+#: What a text must hold for all patterns to be tried; most texts need only those that start with digits.
+_ADDRESSES = tuple(f"{a}{end}" for a in f"{MALE}|{FEMALE}".split("|") for end in (" ", ". "))
+_WITHOUT = {
+    (True, True): ANY,
+    (True, False): "|".join(f"(?:{p})" for n, p in PATTERNS.items() if n != "person"),
+    (False, True): "|".join(f"(?:{p})" for n, p in PATTERNS.items() if n != "email"),
+    (False, False): "|".join(f"(?:{p})" for n, p in PATTERNS.items() if n not in ("email", "person")),
+}
+
+
 #: Given names by script and gender, and syllables of family names by script.
 GIVEN = {
     ("latin", "m"): "Alan Bruno Carl Dario Emil Felix Gustav Hugo Ivan Jonas Karl Leon Marco Nils Oscar Paul Quentin Robin Stefan Tomas Ulrich Victor Walter Xavier".split(),
@@ -63,9 +71,24 @@ def is_type(entity: Column) -> Column:
     return out
 
 
+def _mentions(text: Column) -> tuple[Column, Column, Column]:
+    """Cheap tests: can there be an e-mail address, a name, anything at all?"""
+    name = F.lit(False)
+    for a in _ADDRESSES:
+        name = name | F.contains(text, F.lit(a))
+    at = F.contains(text, F.lit("@"))
+    return at, name, at | name | text.rlike("[0-9]")
+
+
+def _by_pattern(text: Column, apply) -> Column:
+    """apply(pattern) with the patterns that the text can match."""
+    at, name, _ = _mentions(text)
+    return F.when(at & name, apply(_WITHOUT[True, True])).when(at, apply(_WITHOUT[True, False])).when(name, apply(_WITHOUT[False, True])).otherwise(apply(_WITHOUT[False, False]))
+
+
 def entities(text: Column) -> Column:
     """The entities of a text in order."""
-    return F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(_mentions(text)[2], _by_pattern(text, lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0)))).otherwise(F.array().cast("array<string>"))
 
 
 def _script(word: Column) -> Column:
@@ -95,9 +118,9 @@ def units(entity: Column) -> Column:
 
 
 def _stream(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """Hexadecimal digits from the key and a unit."""
+    """256 hexadecimal digits from the key and a unit."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string"))
-    return F.concat(*(F.sha2(F.concat(seed, F.lit(x)).cast("binary"), 256) for x in "abcd"))
+    return F.array_join(F.transform(F.array(*map(F.lit, "abcd")), lambda x: F.sha2(F.concat(seed, x).cast("binary"), 256)), "")
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -118,13 +141,14 @@ _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def _scramble(text: Column, stream: Column, offset: int = 0) -> Column:
     """Digits for digits and letters for letters, by their rank among the text's letters and digits."""
+    ranked = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.struct(_at(text, i).alias("c"), (F.length(F.regexp_replace(F.substring(text, F.lit(1), i), r"[^\p{L}0-9]", "")) + offset).alias("r")))
+    drawn = F.transform(ranked, lambda x: F.struct(x["c"].alias("c"), _byte(stream, x["r"]).alias("n")))
 
-    def one(i: Column) -> Column:
-        c = _at(text, i)
-        n = _byte(stream, F.length(F.regexp_replace(F.substring(text, F.lit(1), i.cast("int")), r"[^\p{L}0-9]", "")) + offset)
+    def one(x: Column) -> Column:
+        c, n = x["c"], x["n"]
         return F.when(c.rlike("[0-9]"), _pick("0123456789", n)).when(c.rlike(r"\p{Lu}"), _pick(_UPPER, n)).when(c.rlike(r"\p{L}"), _pick(_LOWER, n)).otherwise(c)
 
-    return F.when(F.length(text) == 0, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), ""))
+    return F.when(F.length(text) == 0, text).otherwise(F.array_join(F.transform(drawn, one), ""))
 
 
 def _luhn_rest(digits: Column) -> Column:
@@ -148,16 +172,19 @@ def _digits_like(pattern: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(pattern)), one), "")
 
 
-def _card(entity: Column, stream: Column) -> Column:
-    old = F.regexp_replace(entity, "[^0-9]", "")
-    new = F.concat(_at(old, F.lit(1)), F.array_join(F.transform(F.sequence(F.lit(2), F.length(old)), lambda i: _pick("0123456789", _byte(stream, i))), ""))
-    body = F.substring(new, F.lit(1), F.length(new) - 1)
-    check = (F.lit(10) - _luhn_rest(F.concat(body, F.lit("0")))) % 10
-    return _digits_like(entity, F.when(_luhn_rest(old) == 0, F.concat(body, check.cast("string"))).otherwise(new))
+def _card(entity: Column, norm: Column, stream: Column) -> Column:
+    """All digits but the first are new; the last makes the Luhn sum right where it was."""
+    n = F.length(norm)
+    drawn = F.concat(_at(norm, F.lit(1)), F.array_join(F.transform(F.sequence(F.lit(2), n), lambda i: _pick("0123456789", _byte(stream, i))), ""))
+    valid = _luhn_rest(norm) == 0
+    # named once each, by way of arrays of one
+    checked = F.transform(F.array(drawn), lambda d: F.struct(d.alias("d"), ((F.lit(10) - _luhn_rest(F.concat(F.substring(d, F.lit(1), n - 1), F.lit("0")))) % 10).cast("string").alias("check")))
+    new = F.transform(checked, lambda x: F.when(valid, F.concat(F.substring(x["d"], F.lit(1), n - 1), x["check"])).otherwise(x["d"]))
+    return F.get(F.transform(new, lambda d: _digits_like(entity, d)), F.lit(0))
 
 
 def _list(words: list[str], n: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, words)), (n % len(words) + 1).cast("int"))
+    return F.element_at(F.split(F.lit(" ".join(words)), " "), (n % len(words) + 1).cast("int"))  # a constant to Catalyst
 
 
 def _syllables(parts: list[str], stream: Column, n: Column) -> Column:
@@ -176,53 +203,82 @@ def _name(kind: Column, stream: Column, attempt: Column) -> Column:
     return out
 
 
-def surrogate(entity: Column, kind: Column, key: str, attempt_of) -> Column:
-    """The replacement of an entity of a type; attempt_of gives a unit's attempt from its type and normal form."""
-    norm = _norm(entity, kind)
-    stream = _stream(key, kind, norm, attempt_of(kind, norm))
-    local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
-    host = F.regexp_extract(domain, r"^(.*)(\.[^.]+)$", 1)
-    email = F.concat(_scramble(local, stream), F.lit("@"), _scramble(host, _stream(key, F.lit("domain"), F.lower(domain), F.lit(0))), F.regexp_extract(domain, r"(\.[^.]+)$", 1))
-    code = F.regexp_extract(entity, r"^(\+[0-9]{1,3}|)", 1)
-    phone = F.concat(code, _scramble(F.substring(entity, F.length(code) + 1, F.length(entity)), stream))
-    octets = F.split(entity, r"\.")
-    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((_byte(stream, i * 2) * 256 + _byte(stream, i * 2 + 1)) % 254 + 1).cast("string")), ".")
-    letters = F.when(entity.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
-    secret = F.array_join(F.transform(F.sequence(F.lit(0), F.length(entity) - 1), lambda i: F.substring(letters, (_byte(stream, i) % 16 + 1).cast("int"), F.lit(1))), "")
-    names = _names(entity)
-    address = F.regexp_extract(entity, rf"^((?:{MALE}|{FEMALE})\.? )", 1)
-
-    def part(kind: Column, word: Column) -> Column:
-        attempt = attempt_of(kind, F.lower(word))
-        name = _name(kind, _stream(key, kind, F.lower(word), attempt), attempt)
-        return F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(name)).otherwise(name)
-
-    last = part(F.concat(F.lit("family:"), _script(F.element_at(names, -1))), F.element_at(names, -1))
-    first = part(F.concat(F.lit("given:"), _script(names[0]), F.lit(":"), _gender(entity)), names[0])
-    person = F.when(F.size(names) > 1, F.concat(address, first, F.lit(" "), last)).otherwise(F.concat(address, last))
+def _extended(x: Column, names: tuple[str, ...], **more: Column) -> Column:
+    return F.struct(*(x[n].alias(n) for n in names), *(c.alias(n) for n, c in more.items()))
+
+
+def surrogates(found: Column, key: str, attempt_of) -> Column:
+    """(type, new) for an array of entities; attempt_of gives a unit's attempt from its type and normal form.
+
+    Each transform names what the next one uses more than once, so that expressions stay small.
+    """
+    typed = F.transform(found, lambda e: F.struct(e.alias("e"), is_type(e).alias("t")))
+    person = lambda x, c: F.when(x["t"] == "person", c)
+    normed = F.transform(typed, lambda x: F.struct(x["e"].alias("e"), x["t"].alias("t"), _norm(x["e"], x["t"]).alias("norm"), person(x, _names(x["e"])).alias("names")))
+    given = lambda x: F.concat(F.lit("given:"), _script(x["names"][0]), F.lit(":"), _gender(x["e"]))
+    parted = F.transform(normed, lambda x: _extended(
+        x, ("e", "t", "norm", "names"),
+        family=F.concat(F.lit("family:"), _script(F.element_at(x["names"], -1))), last=F.element_at(x["names"], -1),
+        given=F.when(F.size(x["names"]) > 1, given(x)), first=x["names"][0],
+    ))
+    tried = F.transform(parted, lambda x: _extended(
+        x, ("e", "t", "norm", "family", "last", "given", "first"),
+        n=attempt_of(x["t"], x["norm"]), n_last=attempt_of(x["family"], F.lower(x["last"])), n_first=attempt_of(x["given"], F.lower(x["first"])),
+    ))
+    drawn = F.transform(tried, lambda x: _extended(
+        x, ("e", "t", "norm", "family", "last", "given", "first", "n_last", "n_first"),
+        s=_stream(key, x["t"], x["norm"], x["n"]),
+        s_host=F.when(x["t"] == "email", _stream(key, F.lit("domain"), F.substring_index(x["norm"], "@", -1), F.lit(0))),
+        s_last=person(x, _stream(key, x["family"], F.lower(x["last"]), x["n_last"])),
+        s_first=person(x, _stream(key, x["given"], F.lower(x["first"]), x["n_first"])),
+    ))
+    return F.transform(drawn, lambda x: F.struct(x["t"].alias("type"), _new(x).alias("new")))
+
+
+def _like_case(name: Column, old: Column) -> Column:
+    return F.when((F.length(old) > 1) & (old == F.upper(old)), F.upper(name)).otherwise(name)
+
+
+def _new(x: Column) -> Column:
+    """The surrogate of an entity with everything it needs."""
+    e, t, s = x["e"], x["t"], x["s"]
+    domain = F.substring_index(e, "@", -1)
+    email = F.concat(_scramble(F.substring_index(e, "@", 1), s), F.lit("@"), _scramble(F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1), x["s_host"]), F.regexp_extract(domain, r"(\.[^.]+)$", 1))
+    code = F.regexp_extract(e, r"^(\+[0-9]{1,3}|)", 1)
+    phone = F.concat(code, _scramble(F.substring(e, F.length(code) + 1, F.length(e)), s))
+    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((_byte(s, i * 2) * 256 + _byte(s, i * 2 + 1)) % 254 + 1).cast("string")), ".")
+    letters = F.when(e.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
+    secret = F.array_join(F.transform(F.sequence(F.lit(0), F.length(e) - 1), lambda i: F.substring(letters, (_byte(s, i) % 16 + 1).cast("int"), F.lit(1))), "")
+    address = F.regexp_extract(e, rf"^((?:{MALE}|{FEMALE})\.? )", 1)
+    last = _like_case(_name(x["family"], x["s_last"], x["n_last"]), x["last"])
+    first = _like_case(_name(x["given"], x["s_first"], x["n_first"]), x["first"])
+    person = F.concat(address, F.when(x["given"].isNotNull(), F.concat(first, F.lit(" "))).otherwise(F.lit("")), last)
     return (
-        F.when(kind == "email", email)
-        .when(kind == "secret", secret)
-        .when(kind == "card", _card(entity, stream))
-        .when((kind == "ip") & (F.size(octets) == 4), ip)
-        .when(kind == "ssn", _scramble(entity, stream))
-        .when(kind == "phone", phone)
-        .when(kind == "person", person)
-        .otherwise(entity)
+        F.when(t == "email", email)
+        .when(t == "secret", secret)
+        .when(t == "card", _card(e, x["norm"], s))
+        .when(t == "ip", ip)
+        .when(t == "ssn", _scramble(e, s))
+        .when(t == "phone", phone)
+        .when(t == "person", person)
+        .otherwise(e)
     )
 
 
-def _unit_surrogate(key: str) -> Column:
-    """The normal form of a unit's surrogate, from columns type, norm, sample (an occurrence) and attempt."""
-    kind, norm, attempt = F.col("type"), F.col("norm"), F.col("attempt")
-    whole = surrogate(F.col("sample"), kind, key, lambda *_: attempt)
-    name = F.lower(_name(kind, _stream(key, kind, norm, attempt), attempt))
-    return F.when(kind.isin(*TYPES), _norm(whole, kind)).otherwise(name)
+def _with_new(units_: DataFrame, key: str) -> DataFrame:
+    """units_ (type, norm, sample, attempt) with the normal form of each unit's surrogate, `new`."""
+    attempt = F.col("attempt")
+    out = units_.withColumn("stream_", _stream(key, F.col("type"), F.col("norm"), attempt))
+    # names have a unit for each part, other entities are their unit
+    out = out.withColumn("whole_", F.when(F.col("type").isin(*TYPES), F.get(surrogates(F.array("sample"), key, lambda *_: attempt), F.lit(0))["new"]))
+    name = F.lower(_name(F.col("type"), F.col("stream_"), attempt))
+    return out.withColumn("new", F.when(F.col("type").isin(*TYPES), _norm(F.col("whole_"), F.col("type"))).otherwise(name)).drop("stream_", "whole_")
 
 
 def found_units(docs: DataFrame) -> DataFrame:
     """Every unit (type, norm) of all documents, with one occurrence."""
-    each = docs.select(F.explode(entities(F.col("text"))).alias("entity"))
+    # explode() would have the entities searched for again in a filter of their number
+    each = docs.select(F.explode_outer(entities(F.col("text"))).alias("entity")).filter("entity is not null")
     each = each.groupBy("entity").agg(F.lit(1).alias("one_")).select("entity", F.explode(units(F.col("entity"))).alias("u"))
     return each.groupBy(F.col("u.type").alias("type"), F.col("u.norm").alias("norm")).agg(F.min("entity").alias("sample"))
 
@@ -230,7 +286,7 @@ def found_units(docs: DataFrame) -> DataFrame:
 def exceptions(docs: DataFrame, key: str, rounds: int = 60) -> DataFrame | None:
     """Units (type, norm) that need an attempt above 0; None if there are none."""
     real = Scratch(found_units(docs), "units")
-    now = Scratch(real.read().withColumn("attempt", F.lit(0)).withColumn("new", _unit_surrogate(key)), "units")
+    now = Scratch(_with_new(real.read().withColumn("attempt", F.lit(0)), key), "units")
     for _ in range(rounds):
         held = now.read()
         # of those that share a surrogate the least unit of the lowest attempt keeps it; none may keep a real unit's form
@@ -239,7 +295,7 @@ def exceptions(docs: DataFrame, key: str, rounds: int = 60) -> DataFrame | None:
         marked = held.join(first, ["type", "new"]).join(real_forms, (F.col("type") == F.col("t_")) & (F.col("new") == F.col("new_")), "left")
         clash = F.coalesce("real_", F.lit(False)) | (F.col("keeper.norm") != F.col("norm"))
         after = marked.select("type", "norm", "sample", (F.col("attempt") + clash.cast("int")).alias("attempt"), clash.alias("clash"))
-        after = Scratch(after.withColumn("new", _unit_surrogate(key)), "units")
+        after = Scratch(_with_new(after, key), "units")
         settled = after.read().filter("clash").limit(1).count() == 0
         now.drop()
         now = after
@@ -257,19 +313,18 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     attempt_of = lambda kind, norm: F.lit(0)
     if odd is not None:
         # texts with entities are joined by their hash; the others get keys that spread and never match
-        has = docs.select("text").filter(F.size(entities(F.col("text"))) > 0)
-        each = has.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_key_"), F.explode(F.flatten(F.transform(entities(F.col("text")), units))).alias("u"))
+        each = docs.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_key_"), F.explode_outer(entities(F.col("text"))).alias("entity")).filter("entity is not null")
+        each = each.select("text_key_", F.explode_outer(units(F.col("entity"))).alias("u"))
         hit = each.select("text_key_", F.col("u.type").alias("type"), F.col("u.norm").alias("norm")).join(odd, ["type", "norm"]).distinct()
         maps = hit.groupBy("text_key_").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "type", "norm"), "attempt"))).alias("attempts_"))
-        own = F.when(F.col("text").rlike(_HINT), F.sha2(F.col("text").cast("binary"), 256)).otherwise(F.concat(F.lit("-"), F.rand(7).cast("string")))
+        own = F.when(_mentions(F.col("text"))[2], F.sha2(F.col("text").cast("binary"), 256)).otherwise(F.concat(F.lit("-"), F.rand(7).cast("string")))
         docs = docs.withColumn("text_key_", own).join(maps, "text_key_", "left")
         attempt_of = lambda kind, norm: F.coalesce(F.element_at(F.col("attempts_"), F.concat_ws("\x1f", kind, norm)), F.lit(0))
     docs = docs.withColumn("found_", entities(F.col("text")))
-    typed = docs.withColumn("pii_", F.transform("found_", is_type))
-    new = F.zip_with("found_", "pii_", lambda e, t: surrogate(e, t, key, attempt_of))
-    gaps = F.split("text", ANY, -1)
-    whole = F.array_join(F.zip_with(gaps, new, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
-    return typed.withColumn("text", F.when(F.size("found_") > 0, whole).otherwise(F.col("text"))).select(*columns, "pii_")
+    typed = docs.withColumn("new_", surrogates(F.col("found_"), key, attempt_of))
+    gaps = _by_pattern(F.col("text"), lambda p: F.split("text", p, -1))
+    whole = F.array_join(F.zip_with(gaps, "new_", lambda gap, x: F.concat(gap, F.coalesce(x["new"], F.lit("")))), "")
+    return typed.withColumn("text", F.when(F.size("found_") > 0, whole).otherwise(F.col("text"))).select(*columns, F.transform("new_", lambda x: x["type"]).alias("pii_"))
 
 
 def op10(docs: DataFrame, key: str = "ledgerlens") -> DataFrame:
