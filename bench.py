@@ -1,0 +1,27 @@
+"""Headline queries, timed: one JSON line."""
+
+import json
+import os
+import time
+
+from ledgerlens.plans import catalog
+from ledgerlens.session import get_spark
+
+HEADLINE = ("classic_documents", "classic_items", "lines_from_words", "layout_boxes", "page_blocks", "rules_amounts", "vlm_documents", "scalar_rules")
+
+
+def main() -> None:
+    sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
+    spark = get_spark("bench", cpus, int(cpus))
+    spark.sparkContext.setLogLevel("ERROR")
+    catalog.QUERIES["rules_amounts"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # starts the session
+    took = {}
+    for name in HEADLINE:
+        began = time.time()
+        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        took[name] = round(time.time() - began, 3)
+    print(json.dumps({"metric": "headline_total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf_dir)}))
+
+
+if __name__ == "__main__":
+    main()
