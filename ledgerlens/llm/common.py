@@ -101,3 +101,8 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object
             held.append(batch.slice(a, b - a))
     if held:
         yield current, pa.Table.from_batches(held).combine_chunks()
+
+
+def fetch(df: DataFrame, at_once: int = 8) -> Iterator:
+    """Rows of a bounded result on the driver, a share of about 1 / at_once at a time."""
+    yield from df.coalesce(at_once).toLocalIterator(prefetchPartitions=True)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions
+from ledgerlens.llm.common import Scratch, fetch, partitions
 
 MARK = "▁"
 #: Words: marks and what follows them, a stretch without marks, or one line end. No piece holds a line end or tab.
@@ -104,43 +104,86 @@ def cut_words(text: Column, model: Model) -> Column:
     return F.when(F.length(text) > 0, F.regexp_extract_all(marked(text, model), F.lit(CUT), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def orders(model: Model) -> tuple[list[tuple[str, int, int]], list[float]]:
+    """(piece, order, id), and the costs by order: equal costs have one order."""
+    costs = sorted({c for _, c, _ in model.texts})
+    if len(model.pieces) >= NONE:
+        raise ValueError("edges hold ids and orders of 16 bits")
+    place = {c: i for i, c in enumerate(costs)}
+    return [(p, place[c], i) for p, c, i in model.texts], costs
+
+
+#: An edge is one long: order, start, end and id in 16, 8, 8 and 16 bits, so that edges sort by cost, then from the left.
+NONE = 0xFFFF
+
+
+def _start(x: Column) -> Column:
+    return F.shiftright(x, 24).bitwiseAND(255).cast("int")
+
+
+def _end(x: Column) -> Column:
+    return F.shiftright(x, 16).bitwiseAND(255).cast("int")
+
+
 def edges(words: DataFrame, model: Model) -> DataFrame:
-    """word and its lattice: an array of (cost, s, e, id), for different words of a partitioning by word."""
-    spark = words.sparkSession
-    longest = max(len(p) for p, _, _ in model.texts)
-    table = F.broadcast(spark.createDataFrame(model.texts, "piece string, cost double, id int"))  # the vocabulary's size
-    spans = F.transform(
-        F.sequence(F.lit(0), F.length("word") - 1),
-        lambda s: F.transform(F.sequence(s + 1, F.least(s + longest, F.length("word"))), lambda e: F.struct(s.alias("s"), e.alias("e"))),
-    )
-    exploded = words.select("word", F.explode(F.flatten(spans)).alias("x")).select("word", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.expr("substring(word, x.s + 1, x.e - x.s)").alias("piece"))
-    joined = exploded.join(table, "piece", "left").filter((F.col("e") - F.col("s") == 1) | F.col("id").isNotNull())  # a character's edge stays, with a piece or without
-    return joined.groupBy("word").agg(F.collect_list(F.struct("cost", "s", "e", "id")).alias("edges"))
-
-
-def _merge_fold(lattice: Column, n: Column) -> Column:
-    """Bounds of the symbols that are left when the cheapest edge over two neighbours has been taken again and again."""
-    wide = F.filter(lattice, lambda x: x["e"] - x["s"] > 1)
+    """word and its lattice, sorted edges; words are different, of under 256 characters, and partitioned by word."""
+    pieces, _ = orders(model)
+    longest = max(len(p) for p, _, _ in pieces)
+    table = F.broadcast(words.sparkSession.createDataFrame(pieces, "piece string, order int, id int"))  # the vocabulary's size
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda s: F.transform(F.sequence(s + 1, F.least(s + longest, F.length("word"))), lambda e: s * 256 + e)))
+    exploded = words.select("word", F.explode(spans).alias("x")).select("word", "x", F.expr("substring(word, x div 256 + 1, x % 256 - x div 256)").alias("piece"))
+    joined = exploded.join(table, "piece", "left").filter(F.col("id").isNotNull() | (F.length("piece") == 1))  # a character's edge stays, with a piece or without
+    edge = F.shiftleft(F.coalesce("order", F.lit(NONE)).cast("long"), 32) + F.shiftleft(F.col("x").cast("long"), 16) + F.coalesce("id", F.lit(NONE))
+    return joined.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def _fits(bounds: Column, x: Column) -> Column:
+    """Does the edge join two neighbouring symbols?"""
+    at = F.array_position(bounds, _start(x)).cast("int")
+    return (F.get(bounds, at + 1) == _end(x)) & (at > 0)
+
+
+def _joined(bounds: Column, x: Column) -> Column:
+    return F.array_remove(bounds, F.get(bounds, F.array_position(bounds, _start(x)).cast("int")))
+
+
+def _merge_fold(wide: Column, n: Column) -> Column:
+    """Bounds of the symbols that are left when the cheapest edge over two neighbours has been taken again and again.
+
+    One pass in order of cost does that, unless a merge makes a cheaper edge fit; such words are told by `odd`.
+    """
+    kind = "struct<bounds: array<int>, odd: boolean>"
+    start = F.struct(F.sequence(F.lit(0), n).alias("bounds"), F.lit(False).alias("odd")).cast(kind)
+
+    def step(state: Column, x: Column) -> Column:
+        def merged(bounds: Column) -> Column:
+            late = F.exists(wide, lambda y: (y < x) & ((_start(y) == _start(x)) | (_end(y) == _end(x))) & _fits(bounds, y))
+            return F.struct(bounds.alias("bounds"), (state["odd"] | F.coalesce(late, F.lit(False))).alias("odd")).cast(kind)
+
+        return F.when(_fits(state["bounds"], x), F.get(F.transform(F.array(_joined(state["bounds"], x)), merged), F.lit(0))).otherwise(state)
+
+    return F.aggregate(wide, start, step)
+
+
+def _exact_merge_fold(wide: Column, n: Column) -> Column:
+    """As above, looking at all edges again after each merge."""
 
     def step(bounds: Column, _: Column) -> Column:
-        fits = F.filter(wide, lambda x: F.get(bounds, F.array_position(bounds, x["s"]).cast("int") + 1) == x["e"])
-        # an edge whose start isn't a bound has position 0 and finds bounds[1], the end of the first symbol
-        fits = F.filter(fits, lambda x: F.array_contains(bounds, x["s"]))
-        best = F.array_min(fits)
-        middle = F.get(bounds, F.array_position(bounds, best["s"]).cast("int"))
-        return F.when(F.size(fits) == 0, bounds).otherwise(F.array_remove(bounds, middle))
+        best = F.get(F.filter(wide, lambda x: _fits(bounds, x)), F.lit(0))
+        return F.when(best.isNull(), bounds).otherwise(_joined(bounds, best))
 
-    return F.when(F.size(wide) == 0, F.sequence(F.lit(0), n)).otherwise(F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(0), n), step))
+    return F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(0), n), step)
 
 
-def _viterbi_fold(lattice: Column, n: Column) -> Column:
+def _viterbi_fold(lattice: Column, n: Column, costs: list[float]) -> Column:
     """Bounds of the path of least cost; of equal paths the one whose last edges are longest."""
-    big = F.lit(1e6)  # a character without a piece
     entry = "struct<cost: double, s: int>"
+    table = F.array(*map(F.lit, costs))
     start = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(-1).alias("s")).cast(entry))
+    cost = lambda x: F.coalesce(F.get(table, F.shiftright(x, 32).cast("int")), F.lit(1e6))  # noqa: E731  a character without a piece
 
     def step(best: Column, e: Column) -> Column:
-        ways = F.transform(F.filter(lattice, lambda x: x["e"] == e), lambda x: F.struct((F.get(best, x["s"])["cost"] + F.coalesce(x["cost"], big)).alias("cost"), x["s"].alias("s")).cast(entry))
+        ways = F.transform(F.filter(lattice, lambda x: _end(x) == e), lambda x: F.struct((F.get(best, _start(x))["cost"] + cost(x)).alias("cost"), _start(x).alias("s")).cast(entry))
         return F.concat(best, F.array(F.array_min(ways)))
 
     best = F.aggregate(F.sequence(F.lit(1), n), start, step)
@@ -149,16 +192,18 @@ def _viterbi_fold(lattice: Column, n: Column) -> Column:
 
 
 def _ids(word: Column, lattice: Column, bounds: Column, model: Model) -> Column:
+    """Ids of the edges between neighbouring bounds; bytes where there is no piece."""
     byte_ids = F.array(*map(F.lit, model.byte_ids))
+    last = lambda x: F.array_position(bounds, _start(x)).cast("int")
+    taken = F.filter(lattice, lambda x: (F.get(bounds, last(x)) == _end(x)) & (last(x) > 0))
+    ordered = F.array_sort(F.transform(taken, lambda x: F.shiftleft(_start(x), 16) + x.bitwiseAND(NONE).cast("int")))
 
-    def one(i: Column) -> Column:
-        s, e = F.get(bounds, i), F.get(bounds, i + 1)
-        found = F.get(F.filter(lattice, lambda x: (x["s"] == s) & (x["e"] == e)), F.lit(0))["id"]
-        data = F.hex(F.encode(F.substring(word, s + 1, e - s), "UTF-8"))
+    def one(x: Column) -> Column:
+        data = F.hex(F.encode(F.substring(word, F.shiftright(x, 16) + 1, F.lit(1)), "UTF-8"))
         fallback = F.transform(F.sequence(F.lit(0), F.floor(F.length(data) / 2).cast("int") - 1), lambda k: F.get(byte_ids, F.conv(F.substring(data, k * 2 + 1, F.lit(2)), 16, 10).cast("int")))
-        return F.when(found.isNotNull(), F.array(found)).otherwise(fallback)
+        return F.when(x.bitwiseAND(NONE) == NONE, fallback).otherwise(F.array(x.bitwiseAND(NONE)))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(bounds) - 2), one))
+    return F.flatten(F.transform(ordered, one))
 
 
 def merge(word: str, model: Model, table: dict[str, tuple[float, int]] | None = None) -> list[int]:
@@ -194,8 +239,12 @@ def word_ids(words: DataFrame, model: Model, fold_chars: int = 48) -> DataFrame:
     n = partitions(words.sparkSession)
     short = words.filter(F.length("word") <= fold_chars).repartition(n, "word")
     lattice = edges(short, model)
-    fold = _merge_fold if model.kind == BPE else _viterbi_fold
-    bounded = lattice.withColumn("bounds", fold(F.col("edges"), F.length("word")))
+    if model.kind == BPE:
+        wide = F.filter("edges", lambda x: _end(x) - _start(x) > 1)
+        once = lattice.withColumn("wide", wide).withColumn("fold", _merge_fold(F.col("wide"), F.length("word")))
+        bounded = once.withColumn("bounds", F.when(F.col("fold.odd"), _exact_merge_fold(F.col("wide"), F.length("word"))).otherwise(F.col("fold.bounds")))
+    else:
+        bounded = lattice.withColumn("bounds", _viterbi_fold(F.col("edges"), F.length("word"), orders(model)[1]))
     folded = bounded.select("word", _ids(F.col("word"), F.col("edges"), F.col("bounds"), model).alias("ids"))
     if model.kind != BPE:
         return folded.unionByName(_long_viterbi(words.filter(F.length("word") > fold_chars), model))
@@ -243,7 +292,9 @@ def viterbi(word: str, model: Model) -> list[int]:
 def encode(docs: DataFrame, model: Model, broadcast_mb: int = 256) -> DataFrame:
     """docs (with a column text) and an array column `ids_`."""
     spark = docs.sparkSession
-    words = docs.select(F.explode(cut_words(F.col("text"), model)).alias("word")).distinct()
+    # explode() would have the words cut again in a filter of their number; the table is read for short and for long words
+    each = docs.select(F.explode_outer(cut_words(F.col("text"), model)).alias("word")).filter("word is not null")
+    words = Scratch(each.distinct(), "words").read()
     known = Scratch(word_ids(words, model), "word-ids").read()
     size = known.select((F.lit(12) + 2 * F.size("ids")).alias("b")).agg(F.sum("b")).first()[0] or 0
     if size > broadcast_mb << 20:
@@ -273,7 +324,7 @@ def _encode_by_broadcast(docs: DataFrame, known: DataFrame, model: Model, spark:
 
     kind = "<u2" if len(model.pieces) <= 1 << 16 else "<u4"
     parts = [[], [], []]
-    for r in known.mapInArrow(pack, "hashes binary, lengths binary, ids binary").toLocalIterator(prefetchPartitions=True):
+    for r in fetch(known.mapInArrow(pack, "hashes binary, lengths binary, ids binary")):
         for held, data in zip(parts, r, strict=True):
             held.append(data)
     hashes, lengths, ids = (np.frombuffer(b"".join(p), t) for p, t in zip(parts, ("<u8", "<u4", kind), strict=True))
@@ -290,7 +341,7 @@ def _encode_by_broadcast(docs: DataFrame, known: DataFrame, model: Model, spark:
         hashes, starts, lengths, ids = shared.value
         cut = re.compile(CUT)
         for whole in batches:
-            for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
+            for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
                 flat: list[str] = []
                 ends = []
                 for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
