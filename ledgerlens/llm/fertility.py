@@ -14,6 +14,7 @@ measured whole. Columns of the input keep their place; names that clash don't ma
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,9 +49,9 @@ class Bands:
 
 
 class Vocabularies:
-    """Tokens of space-separated chunks, remembered by chunk up to `most` chunks."""
+    """Tokens of space-separated chunks, remembered in two generations of up to `most` chunks."""
 
-    def __init__(self, piece_path: str | None = None, bpe_path: str | None = None, most: int = 300_000):
+    def __init__(self, piece_path: str | None = None, bpe_path: str | None = None, most: int = 400_000):
         import base64
 
         import public_tokenizers as public
@@ -62,24 +63,37 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("chunks", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.get_piece_size())])
-        self.most, self.ids, self.counts = most, {}, {}
-
-    def learn(self, chunks: list[str]) -> None:
-        new = list({c for c in chunks if c not in self.counts})
-        if not new:
-            return
-        if len(self.counts) + len(new) > self.most:
-            self.ids, self.counts = {}, {}
-            new = list(set(chunks))
+        self.most, self.known, self.old = most, {}, {}
+
+    def learn(self, chunks: set[str]) -> None:
+        missing = chunks.difference(self.known)
+        if len(self.known) + len(missing) > self.most:
+            self.old, self.known, missing = self.known, {}, chunks
+        new = []
+        for c in missing:
+            if (found := self.old.get(c)) is not None:
+                self.known[c] = found
+            else:
+                new.append(c)
         for chunk, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True):
-            self.ids[chunk] = np.array(ids, dtype="<u2").tobytes()
-            self.counts[chunk] = len(self.bpe.encode_ordinary(" " + chunk))
+            self.known[chunk] = (array("H", ids).tobytes(), len(self.bpe.encode_ordinary(" " + chunk)))
 
-    def tokens(self, text: str) -> tuple[np.ndarray, int]:
-        """SentencePiece ids, and the number of BPE tokens."""
-        chunks = text.split(" ")
-        self.learn(chunks)
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, chunks)), dtype="<u2"), sum(map(self.counts.__getitem__, chunks))
+    def tokens(self, chunks: list[str]) -> tuple[np.ndarray, int]:
+        """SentencePiece ids and the number of BPE tokens of chunks that are known."""
+        if not chunks:
+            return np.empty(0, "<u2"), 0
+        ids, counts = zip(*map(self.known.__getitem__, chunks), strict=True)
+        return np.frombuffer(b"".join(ids), dtype="<u2"), sum(counts)
+
+
+_vocabularies: dict[tuple[str | None, str | None], Vocabularies] = {}
+
+
+def vocabularies(piece_path: str | None, bpe_path: str | None) -> Vocabularies:
+    """One for each worker process, so that its memory serves all of its tasks."""
+    if (piece_path, bpe_path) not in _vocabularies:
+        _vocabularies[piece_path, bpe_path] = Vocabularies(piece_path, bpe_path)
+    return _vocabularies[piece_path, bpe_path]
 
 
 def entropy(ids: np.ndarray, window: int = 128) -> float:
@@ -135,15 +149,17 @@ def measure(docs: DataFrame, window: int = 128, piece_path: str | None = None, b
     has_lang = "lang" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabularies = Vocabularies(piece_path, bpe_path)
-        for batch in batches:
+        tokens = vocabularies(piece_path, bpe_path)
+        for batch in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
             names = batch.schema.names
             texts = batch.column(names.index("text")).to_pylist()
             langs = batch.column(names.index("lang")).to_pylist() if has_lang else [None] * len(texts)
+            chunks = [t.split(" ") if t else [] for t in texts]
+            tokens.learn(set().union(*chunks))
             rows = []
-            for text, lang in zip(texts, langs, strict=True):
-                ids, n = vocabularies.tokens(text) if text else (np.empty(0, "<u2"), 0)
-                rows.append((*base(text), lang if lang is not None else script(text or ""), n, len(text) / n if n else 0.0, float(vocabularies.is_byte[ids].mean()) if len(ids) else 0.0, entropy(ids, window)))
+            for text, lang, parts in zip(texts, langs, chunks, strict=True):
+                ids, n = tokens.tokens(parts)
+                rows.append((*base(text), lang if lang is not None else script(text or ""), n, len(text) / n if n else 0.0, float(tokens.is_byte[ids].mean()) if len(ids) else 0.0, entropy(ids, window)))
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _NAMES]
             struct = pa.StructArray.from_arrays([pa.array(c, type=k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*names, "fertility_"])
