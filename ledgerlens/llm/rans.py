@@ -19,6 +19,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -164,11 +165,13 @@ def decode(states: np.ndarray, words: np.ndarray, n: int, table: Table) -> np.nd
 class Encoder:
     """Ids of whole texts as bytes of little-endian 16- or 32-bit integers.
 
-    A text is cut at its single spaces, where the vocabulary's pattern always cuts too; a chunk goes through the tokenizers
-    library once and is remembered, up to `most` chunks. Texts with other spacing go through the library whole.
+    A text is cut at its single spaces, and a new chunk again at line ends and before closing punctuation, where the
+    vocabulary's pattern always cuts too; each part goes through the tokenizers library once and is remembered. Two
+    generations of `most` parts each are held: what the younger lacks is looked up in the older and moves up. Texts
+    with other spacing go through the library whole.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -176,24 +179,86 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings are ordinary text
-        self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.most, self.seen = most, {}
+        self.kind, self.code = ("<u2", "H") if self.tok.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.most, self.seen, self.old = most, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ODD_SPACE.search(text) or text[0] == " " or text[-1] == " ":
-            return self.whole([text])[0]
-        first, *rest = text.split(" ")
-        new = list({c for c in rest if c not in self.seen})
-        if new:
-            if len(self.seen) + len(new) > self.most:
-                self.seen, new = {}, list(set(rest))
-            self.seen.update(zip(new, self.whole([" " + c for c in new]), strict=True))
-        return self.whole([first])[0] + b"".join(map(self.seen.__getitem__, rest))
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Chunks start with a space unless they start a text or line."""
+        missing = chunks.difference(self.seen)
+        if len(self.seen) + len(missing) > self.most:
+            self.old, self.seen, missing = self.seen, {}, chunks
+        seen, old, new = self.seen, self.old, []
+        for c in missing:
+            if (known := old.get(c)) is not None:
+                seen[c] = known
+            else:
+                new.append(c)
+        parts = {c: _parts(c) for c in new}
+        alone = list({p for ps in parts.values() for p in ps if p not in seen and p not in old})
+        fresh = dict(zip(alone, self.whole(alone), strict=True))
+        for c, ps in parts.items():
+            seen[c] = b"".join([fresh[p] if p in fresh else seen[p] if p in seen else old[p] for p in ps])
+        for p in alone:
+            seen.setdefault(p, fresh[p])
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        cut: dict[int, list[str]] = {}
+        odd = []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if text[0] == " " or text[-1].isspace() or _ODD_SPACE.search(text):
+                odd.append(i)
+            else:
+                cut[i] = text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else re.split("(?= )", text)
+        for i, data in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
+            out[i] = data
+        held: list[int] = []
+        chunks: set[str] = set()
+
+        def close() -> None:
+            self.learn(chunks)
+            get = self.seen.__getitem__
+            for i in held:
+                out[i] = b"".join(map(get, cut[i]))
+
+        for i, parts in cut.items():
+            held.append(i)
+            chunks.update(parts)
+            if len(chunks) > self.most // 4:
+                close()
+                held, chunks = [], set()
+        close()
+        return out
+
+
+_END = ".,;:!?%*#$&|"
+_encoders: dict[str, Encoder] = {}
+
+
+def _parts(chunk: str) -> list[str]:
+    """Where the pattern cuts a chunk for certain: around single line ends, and between letters and closing punctuation."""
+    out = []
+    for k, line in enumerate(chunk.split("\n")):
+        if k:
+            out.append("\n")
+        core = line.rstrip(_END)
+        if core != line and core.lstrip(" ").isalpha():
+            out += [core, line[len(core) :]]
+        elif line:
+            out.append(line)
+    return out
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker process, so that its memory serves all of its tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 RAW = "shard int, block int, start long, doc_ids array<long>, lengths array<int>, tokens binary"
@@ -203,8 +268,8 @@ def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens:
     """Blocks of ids before coding; `start` counts from the shard's first id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
-        end = np.array([end_id], dtype=encoder.kind).tobytes()
+        encode_ = encoder(tokenizer_path)
+        end = np.array([end_id], dtype=encode_.kind).tobytes()
         width, shard = len(end), TaskContext.get().partitionId()
         block = start = held = 0
         ids: list[int | None] = []
@@ -215,8 +280,7 @@ def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens:
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([b"".join(parts)], pa.binary())], names=["shard", "block", "start", "doc_ids", "lengths", "tokens"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encoder(text or "") + end
+            for doc, data in ((d, x + end) for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)) for d, x in zip(part.column(0).to_pylist(), encode_(part.column(1).to_pylist()), strict=True)):
                 n = len(data) // width
                 if ids and held + n > block_tokens:
                     yield row()
