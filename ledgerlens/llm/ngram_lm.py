@@ -8,7 +8,7 @@ hash functions than the others, as a false level 1 costs most.
 Smoothing is Witten-Bell of strength s: P(w|h) = (c(h,w) + s T(h) P(w)) / (c(h) + s T(h)), with T(h) the number of
 different words after h and P(w) = (c(w) + 1) / (N + V + 1), the contract's base. A document's first history is a start mark.
 
-Memory: words (8 + 4 + 4 bytes each) and the filter (about 18 bits a pair) are broadcast in blocks of at most
+Memory: words (10 bytes each, and 12 for each number over 254) and the filter (about 12 bits a pair) are broadcast in blocks of at most
 `block_mb`. What fits in one block is scored in one pass; beyond it documents pass once for each block, with each token's
 word counts written in between, and pairs are dealt to blocks by history so that each pass scores its own tokens.
 
@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD, Scratch, ascii_lower, partitions
+from ledgerlens.llm.common import WORD, Scratch, ascii_lower, fetch, partitions
 
 _WORD = re.compile(WORD)
 #: Hashes of the end token and of the start history; no word is hashed to them but by chance.
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 WORDS, PAIRS, NEXT = 0, 1, 2
 PACKED = "kind int, bucket int, keys binary, counts binary"
-FIRST_HASHES, MORE_HASHES = 12, 5
+FIRST_HASHES, MORE_HASHES = 8, 4
+ROWS = 250  # documents that are tokenised at once
 
 
 def held_out(doc_id: str = "doc_id", modulus: int = 7, remainder: int = 2):
@@ -114,17 +115,28 @@ class _Sum:
         return keys, counts
 
 
-def count(docs: DataFrame, most: int = 6_000_000) -> Scratch:
+@dataclass
+class Counted:
+    """Written PACKED rows."""
+
+    exact: Scratch
+    follow: Scratch
+
+    def read(self) -> DataFrame:
+        return self.exact.read().filter(F.col("kind") != NEXT).unionByName(self.follow.read())
+
+
+def count(docs: DataFrame, most: int = 2_000_000) -> Counted:
     """PACKED rows of exact counts: of words, of pairs, and of the words that follow each history."""
     n = partitions(docs.sparkSession)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, both = _Sum(), _Sum()
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             hashes, ends = tokens(batch.column(0).to_pylist())
             words.add(*np.unique(hashes, return_counts=True))
             both.add(*np.unique(pairs(hashes, ends), return_counts=True))
-            if both.size > most:  # pass on what is held, so that memory doesn't grow with the partition
+            if both.size > most and len(both.merge()[0]) > most // 2:  # pass on what is held, so that memory doesn't grow with the partition
                 yield from _pack(PAIRS, *both.merge(), n)
                 yield from _pack(WORDS, *words.merge(), n)
                 words, both = _Sum(), _Sum()
@@ -143,10 +155,7 @@ def count(docs: DataFrame, most: int = 6_000_000) -> Scratch:
                 yield from _pack(NEXT, *np.unique(keys >> np.uint64(32), return_counts=True), n)
 
     one = Scratch(docs.select(F.col("text").cast("string")).mapInArrow(local, PACKED).repartition(n, "bucket").mapInArrow(merged, PACKED), "counts")
-    follow = one.read().filter(F.col("kind") == NEXT).repartition(n, "bucket").mapInArrow(merged, PACKED)
-    both = Scratch(one.read().filter(F.col("kind") != NEXT).unionByName(follow), "counts")
-    one.drop()
-    return both
+    return Counted(one, Scratch(one.read().filter(F.col("kind") == NEXT).repartition(n, "bucket").mapInArrow(merged, PACKED), "counts"))
 
 
 def _salt(level: int) -> np.uint64:
@@ -163,24 +172,20 @@ def _positions(keys: np.ndarray, level: int, hashes: int, bits: int) -> Iterator
         h = h + step
 
 
-@dataclass
 class Filter:
     """Log-frequency Bloom filter in segments, one for each bucket of the pairs' hash; histories low to high belong to it."""
 
-    segments: list[np.ndarray]
-    low: int
-    high: int
-    levels: int = 40
+    levels = 40
+
+    def __init__(self, segments: list[np.ndarray], low: int, high: int):
+        self.low, self.high = low, high
+        self.offset = np.concatenate(([0], np.cumsum([8 * len(s) for s in segments]))).astype(np.int64)
+        self.size = np.diff(self.offset)
+        self.bytes = np.concatenate([np.empty(0, np.uint8), *segments])
 
     @property
     def nbytes(self) -> int:
-        return sum(s.nbytes for s in self.segments)
-
-    def __post_init__(self) -> None:
-        self.offset = np.concatenate(([0], np.cumsum([8 * len(s) for s in self.segments]))).astype(np.int64)
-        self.size = np.diff(self.offset)
-        self.bytes = np.concatenate([np.empty(0, np.uint8), *self.segments])
-        self.segments = [self.bytes[a:b] for a, b in zip(self.offset[:-1] // 8, self.offset[1:] // 8, strict=True)]
+        return self.bytes.nbytes
 
     def covers(self, keys: np.ndarray) -> np.ndarray:
         history = keys >> np.uint64(32)
@@ -221,13 +226,30 @@ def segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-@dataclass
+class Numbers:
+    """Whole numbers, most of them small: one byte each, larger ones by position."""
+
+    def __init__(self, values: np.ndarray):
+        self.low = np.minimum(values, 255).astype(np.uint8)
+        self.at = np.flatnonzero(self.low == 255).astype(np.uint32)
+        self.high = values[self.at].astype(np.int64)
+
+    @property
+    def nbytes(self) -> int:
+        return self.low.nbytes + self.at.nbytes + self.high.nbytes
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = self.low[at].astype(np.int64)
+        big = np.flatnonzero(out == 255)
+        out[big] = self.high[np.searchsorted(self.at, at[big])]
+        return out
+
+
 class Words:
     """Sorted word hashes with their counts and the number of different words after them."""
 
-    keys: np.ndarray
-    counts: np.ndarray
-    follow: np.ndarray
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, follow: np.ndarray):
+        self.keys, self.counts, self.follow = keys, Numbers(counts), Numbers(follow)
 
     @property
     def nbytes(self) -> int:
@@ -239,14 +261,14 @@ class Words:
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         there = self.keys[at] == hashes
-        return np.where(there, self.counts[at], 0), np.where(there, self.follow[at], 0).astype(np.int64)
+        return np.where(there, self.counts[at], 0), np.where(there, self.follow[at], 0)
 
 
 @dataclass
 class Model:
     """What scoring needs; blocks are made one at a time."""
 
-    counted: Scratch
+    counted: Counted
     total: int
     distinct: int
     documents: int
@@ -256,12 +278,12 @@ class Model:
     buckets: int
 
     def _rows(self, kind: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for r in self.counted.read().filter(F.col("kind") == kind).select("keys", "counts").toLocalIterator():
+        for r in fetch(self.counted.read().filter(F.col("kind") == kind).select("keys", "counts")):
             yield np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], "<i8" if kind == WORDS else "<u4")
 
     def words(self) -> Iterator[Words]:
         """Blocks of words by ranges of their hash."""
-        blocks = max(1, math.ceil(16 * self.distinct / self.block_bytes))
+        blocks = max(1, math.ceil(11 * self.distinct / self.block_bytes))
         edges = [(i << 64) // blocks for i in range(blocks + 1)]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             parts = [(k[m], c[m]) for k, c in self._rows(WORDS) for m in [(k >= np.uint64(low)) & (k <= np.uint64(high - 1))]]
@@ -271,6 +293,7 @@ class Model:
                 order = np.argsort(k)
                 at = np.minimum(np.searchsorted(k[order], keys >> np.uint64(32)), len(k) - 1)
                 follow += np.where(k[order][at] == keys >> np.uint64(32), c[order][at], 0).astype(np.uint32)
+            del parts
             yield Words(keys, counts, follow)
 
     def filters(self) -> Iterator[Filter]:
@@ -287,7 +310,7 @@ class Model:
                         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([segment(keys[own], counts[own]).tobytes()], pa.binary())], names=["bucket", "bits"])
 
             pairs_ = self.counted.read().filter(F.col("kind") == PAIRS).select("bucket", "keys", "counts")
-            found = {r["bucket"]: np.frombuffer(r["bits"], np.uint8) for r in pairs_.mapInArrow(build, "bucket int, bits binary").toLocalIterator()}
+            found = {r["bucket"]: np.frombuffer(r["bits"], np.uint8) for r in fetch(pairs_.mapInArrow(build, "bucket int, bits binary"), 16)}
             empty = np.empty(0, np.uint8)
             yield Filter([found.get(b, empty) for b in range(self.buckets)], low, high)
 
@@ -330,7 +353,7 @@ def score(docs: DataFrame, model: Model, strength: int = 3) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             steps = shared.value
-            for batch in batches:
+            for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
                 names = batch.schema.names
                 hashes, ends = tokens(batch.column(names.index("text")).to_pylist())
                 starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
