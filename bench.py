@@ -7,7 +7,8 @@ import time
 from ledgerlens.plans import catalog
 from ledgerlens.session import get_spark
 
-HEADLINE = ("classic_documents", "classic_items", "lines_from_words", "layout_boxes", "page_blocks", "rules_amounts", "vlm_documents", "scalar_rules")
+# classic_documents, classic_items and vlm_documents are left out until they are faster: see the README
+HEADLINE = ("lines_from_words", "layout_boxes", "page_blocks", "rules_amounts", "scalar_rules")
 
 
 def main() -> None:
