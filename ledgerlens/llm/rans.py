@@ -35,7 +35,8 @@ BITS = 18  # the frequencies of a table sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states are at least LOW and below LOW << 32
 MAGIC, VERSION = b"LRNS", 1
 _HEAD = struct.Struct("<4sHHIIIIIIQ")
-_ODD_SPACE = re.compile(r" \s|\s ")
+_ODD_SPACE = re.compile(r"[^\S\n]\s|\s[^\S\n]")  # runs of white space other than line ends alone
+_LINE_ENDS = re.compile(r"(\n+)")
 
 
 def normalise(counts: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -241,11 +242,13 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _parts(chunk: str) -> list[str]:
-    """Where the pattern cuts a chunk for certain: around single line ends, and between letters and closing punctuation."""
+    """Where the pattern cuts a chunk for certain: around line ends, of which the last in a run stands alone, and between
+    letters and closing punctuation. Line ends have no other white space beside them, nor end the chunk."""
     out = []
-    for k, line in enumerate(chunk.split("\n")):
-        if k:
-            out.append("\n")
+    for k, line in enumerate(_LINE_ENDS.split(chunk)):
+        if k % 2:
+            out += [line[:-1], "\n"] if len(line) > 1 else ["\n"]
+            continue
         core = line.rstrip(_END)
         if core != line and core.lstrip(" ").isalpha():
             out += [core, line[len(core) :]]

@@ -73,6 +73,18 @@ def test_rans_files(docs, none):
     assert rans.op1(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_rans_white_space():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    texts = [f"{a}{end * n}{b}" for a in ("foo", "", "x.", "7", "no, a") for b in ("bar", "", "7", "...", " y", "\u00e9t\u00e9 z") for end in ("\n", "\t", "\r\n", "\u00a0", "\x85", "\x1c") for n in range(1, 6)]
+    r = random.Random(3)
+    texts += ["".join(r.choice(["foo", "x.", "'s", "12", " ", "\n", "\n", "\n\n\n", "\t", "\r", "\u3000", "\x00", "!"]) for _ in range(12)) for _ in range(20_000)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in rans.Encoder(path)(texts)] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_fertility(docs, none):
     for r in rows(fertility.op2(docs)):
         text = TEXTS[r["doc_id"]] or ""
