@@ -2,7 +2,7 @@
 
 Detected: e-mail addresses, phone numbers, IPv4 addresses, card numbers, social security numbers, long hexadecimal
 secrets, and names after a form of address. Each gets a surrogate from a keyed hash of its type and normal form (case,
-spacing and punctuation left out), so one entity has one surrogate everywhere; it takes the occurrence's format: letter
+spacing and punctuation left out, but for the + of phones), so one entity has one surrogate everywhere; it takes the occurrence's format: letter
 case, punctuation, country code of phones, a valid check digit where the card had one, octets below 255, and for names
 the gender of the form of address and the script of the name.
 
@@ -35,6 +35,8 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}-])(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'’-]*\p{{L}}(?: \p{{Lu}}[\p{{L}}'’-]*\p{{L}})?(?![\p{{L}}])",
 }
 TYPES = tuple(PATTERNS)
+#: The + and country code that start a phone's normal form; numbers without + have none.
+CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})?"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must hold for all patterns to be tried; most texts need only those that start with digits.
 _ADDRESSES = tuple(f"{a}{end}" for a in f"{MALE}|{FEMALE}".split("|") for end in (" ", ". "))
@@ -105,7 +107,7 @@ def _names(entity: Column) -> Column:
 
 
 def _norm(entity: Column, kind: Column) -> Column:
-    return F.when(kind.isin("email", "secret"), F.lower(entity)).when(kind == "ip", entity).otherwise(F.regexp_replace(entity, "[^0-9]", ""))
+    return F.when(kind.isin("email", "secret"), F.lower(entity)).when(kind == "ip", entity).otherwise(F.regexp_replace(entity, r"(?!^\+)[^0-9]", ""))
 
 
 def units(entity: Column) -> Column:
@@ -183,6 +185,14 @@ def _card(entity: Column, norm: Column, stream: Column) -> Column:
     return F.get(F.transform(new, lambda d: _digits_like(entity, d)), F.lit(0))
 
 
+def _phone(entity: Column, norm: Column, stream: Column) -> Column:
+    """All digits but the country code are new: one new normal form for the unit, in each occurrence's format."""
+    code = F.regexp_extract(norm, CODE, 0)
+    drawn = F.transform(F.sequence(F.length(code) + 1, F.length(norm)), lambda i: _pick("0123456789", _byte(stream, i)))
+    new = F.array(F.concat(F.ltrim(code, F.lit("+")), F.array_join(drawn, "")))  # named once
+    return F.get(F.transform(new, lambda d: _digits_like(entity, d)), F.lit(0))
+
+
 def _list(words: list[str], n: Column) -> Column:
     return F.element_at(F.split(F.lit(" ".join(words)), " "), (n % len(words) + 1).cast("int"))  # a constant to Catalyst
 
@@ -244,8 +254,6 @@ def _new(x: Column) -> Column:
     e, t, s = x["e"], x["t"], x["s"]
     domain = F.substring_index(e, "@", -1)
     email = F.concat(_scramble(F.substring_index(e, "@", 1), s), F.lit("@"), _scramble(F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1), x["s_host"]), F.regexp_extract(domain, r"(\.[^.]+)$", 1))
-    code = F.regexp_extract(e, r"^(\+[0-9]{1,3}|)", 1)
-    phone = F.concat(code, _scramble(F.substring(e, F.length(code) + 1, F.length(e)), s))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((_byte(s, i * 2) * 256 + _byte(s, i * 2 + 1)) % 254 + 1).cast("string")), ".")
     letters = F.when(e.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
     secret = F.array_join(F.transform(F.sequence(F.lit(0), F.length(e) - 1), lambda i: F.substring(letters, (_byte(s, i) % 16 + 1).cast("int"), F.lit(1))), "")
@@ -259,14 +267,17 @@ def _new(x: Column) -> Column:
         .when(t == "card", _card(e, x["norm"], s))
         .when(t == "ip", ip)
         .when(t == "ssn", _scramble(e, s))
-        .when(t == "phone", phone)
+        .when(t == "phone", _phone(e, x["norm"], s))
         .when(t == "person", person)
         .otherwise(e)
     )
 
 
 def _with_new(units_: DataFrame, key: str) -> DataFrame:
-    """units_ (type, norm, sample, attempt) with the normal form of each unit's surrogate, `new`."""
+    """units_ (type, norm, sample, attempt) with the normal form of each unit's surrogate, `new`.
+
+    It is the same for all of a unit's occurrences, whose formats differ, so one occurrence serves.
+    """
     attempt = F.col("attempt")
     out = units_.withColumn("stream_", _stream(key, F.col("type"), F.col("norm"), attempt))
     # names have a unit for each part, other entities are their unit

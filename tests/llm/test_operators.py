@@ -266,6 +266,20 @@ def test_surrogates(spark, none):
     assert pii.op10(none).count() == 0
 
 
+def test_phones_have_one_surrogate(spark):
+    digits = lambda x: re.sub(r"\D", "", x)
+    same = ["+1 (068) 555-2748", "+10685552748", "+106 8555 2748", "+1-068-555-2748", "+1#068.555*2748"]
+    other = ["(068) 555-2748", "+49 30 123456", "+4930123456", "+493 012 3456", "+380 44 123 4567", "+3804 412 34567"]
+    got = [r["text"] for r in pii.op10(spark.createDataFrame(list(enumerate(same + other)), "doc_id long, text string"), "key").orderBy("doc_id").collect()]
+    assert all(re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", b) for a, b in zip(same + other, got, strict=True))
+    assert len({digits(x) for x in got[:5]}) == 1 and all(digits(x)[0] == "1" for x in got[:5]) and digits(got[0])[:4] != "1068"
+    assert len({digits(x) for x in got[6:9]}) == 1 and digits(got[6])[:2] == "49" and digits(got[9]) == digits(got[10]) and digits(got[9])[:3] == "380"
+    # few forms: the surrogates of all formats are distinct, and no real number
+    few = [f"+1 {a}{b} {c:02d}" if a % 2 else f"+1{a}{b}{c:02d}" for a in range(3, 5) for b in range(1, 3) for c in range(0, 99, 3)]
+    new = [r["text"] for r in pii.op10(spark.createDataFrame(list(enumerate(few + [x.replace(" ", "") for x in few])), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    assert len({digits(x) for x in new}) == len(few) and not {digits(x) for x in new} & {digits(x) for x in few} and [digits(x) for x in new[: len(few)]] == [digits(x) for x in new[len(few) :]]
+
+
 def test_surrogates_stay_distinct(spark):
     names = [f"Mr {a}{b}" for a in "ABCDEFGH" for b in ("ak", "el", "im", "or", "us", "an", "ed", "ig")]
     out = pii.replace(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "doc_id long, text string"), "k").collect()
