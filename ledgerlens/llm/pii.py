@@ -26,8 +26,9 @@ _NOISE = r"[#*$%&!|]{0,3}"
 MALE = "Mr|Sir|Herr|Monsieur|Señor|Sr|Господин|г-н|Κύριος"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Госпожа|г-жа|Κυρία"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[\p{L}0-9][\p{L}0-9._%+-]{0,63}@(?:[\p{L}0-9-]{1,63}\.){1,8}[\p{L}]{2,24}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
+    # from the first letter or digit of a run on; a host name has 127 labels at most
+    "email": r"(?<![\p{L}0-9])(?<![\p{L}0-9][._%+-]{0,8})[\p{L}0-9][\p{L}0-9._%+-]*+@(?:[\p{L}0-9-]++\.){1,126}[\p{L}]{2,}",
+    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z])(?!\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
@@ -126,8 +127,13 @@ def _stream(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
 
 
 def _byte(stream: Column, i: Column) -> Column:
-    """The i-th byte (from 0) of the stream, which repeats after 128."""
-    return F.conv(F.substring(stream, (i % 128 * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+    """The i-th byte (from 0) of the stream, i below 128."""
+    return F.conv(F.substring(stream, (i * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+
+
+def _any_byte(stream: Column, i: Column) -> Column:
+    """The i-th byte of the stream for any i: beyond its 128 bytes, of a hash of the stream and the place."""
+    return F.when(i < 128, _byte(stream, i)).otherwise(_byte(F.sha2(F.concat_ws("\x1f", stream, i.cast("string")).cast("binary"), 256), F.lit(0)))
 
 
 def _at(s: Column, i: Column) -> Column:
@@ -141,10 +147,9 @@ def _pick(alphabet: str, n: Column) -> Column:
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _scramble(text: Column, stream: Column, offset: int = 0) -> Column:
-    """Digits for digits and letters for letters, by their rank among the text's letters and digits."""
-    ranked = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.struct(_at(text, i).alias("c"), (F.length(F.regexp_replace(F.substring(text, F.lit(1), i), r"[^\p{L}0-9]", "")) + offset).alias("r")))
-    drawn = F.transform(ranked, lambda x: F.struct(x["c"].alias("c"), _byte(stream, x["r"]).alias("n")))
+def _scramble(text: Column, stream: Column) -> Column:
+    """Digits for digits and letters for letters, by their place in the text."""
+    drawn = F.transform(F.split(text, ""), lambda c, i: F.struct(c.alias("c"), _any_byte(stream, i).alias("n")))
 
     def one(x: Column) -> Column:
         c, n = x["c"], x["n"]
@@ -255,8 +260,10 @@ def _new(x: Column) -> Column:
     domain = F.substring_index(e, "@", -1)
     email = F.concat(_scramble(F.substring_index(e, "@", 1), s), F.lit("@"), _scramble(F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1), x["s_host"]), F.regexp_extract(domain, r"(\.[^.]+)$", 1))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((_byte(s, i * 2) * 256 + _byte(s, i * 2 + 1)) % 254 + 1).cast("string")), ".")
-    letters = F.when(e.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
-    secret = F.array_join(F.transform(F.sequence(F.lit(0), F.length(e) - 1), lambda i: F.substring(letters, (_byte(s, i) % 16 + 1).cast("int"), F.lit(1))), "")
+    # small letters, and capitals where the key has them, or everywhere if it has no small ones
+    drawn = lambda c, i: _pick("0123456789abcdef", _any_byte(s, i))
+    mixed = F.array_join(F.transform(F.split(e, ""), lambda c, i: F.when(c.rlike("[A-F]"), F.upper(drawn(c, i))).otherwise(drawn(c, i))), "")
+    secret = F.when(e.rlike("[A-F]") & ~e.rlike("[a-f]"), F.upper(mixed)).otherwise(mixed)
     address = F.regexp_extract(e, rf"^((?:{MALE}|{FEMALE})\.? )", 1)
     last = _like_case(_name(x["family"], x["s_last"], x["n_last"]), x["last"])
     first = _like_case(_name(x["given"], x["s_first"], x["n_first"]), x["first"])

@@ -266,6 +266,21 @@ def test_surrogates(spark, none):
     assert pii.op10(none).count() == 0
 
 
+def test_surrogates_of_any_length(spark):
+    r = random.Random(5)
+    keys = ["".join(r.choice(a) for _ in range(n)) for n in (32, 128, 129, 256, 512, 3000) for a in ("0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefABCDEF")]
+    locals_ = ["".join(r.choice("abcxyz019._") for _ in range(n - 2)) + "zz" for n in (64, 65, 300)] + ["\u00e9" * 80, "\u00e9" + "a.b" * 40]
+    mails = [f"{x.lstrip('._')}@mail.example.com" for x in locals_] + ["joe@" + "a1." * 20 + "example.com", "joe@" + "h" * 70 + ".com", "joe@mail." + "t" * 30, ".leading@mail.example.com"]
+    whole = [f"a {x}, b" for x in keys + mails]
+    got = [r["text"] for r in pii.op10(spark.createDataFrame([(i, t) for i, t in enumerate([*whole, f"{keys[6].upper()} {keys[6]}"])], "doc_id long, text string"), "key").orderBy("doc_id").collect()]
+    for old, new in zip(keys, got, strict=False):
+        assert re.fullmatch(f"a [0-9A-Fa-f]{{{len(old)}}}, b", new) and sum(a == b for a, b in zip(old.lower(), new[2:].lower(), strict=False)) < 0.4 * len(old) and (new[2:-3].islower(), new[2:-3].isupper()) == (old.islower(), old.isupper())
+        assert len(old) < 256 or new[2:130].lower() != new[130:258].lower()  # digits don't repeat
+    for old, new in zip(mails, got[len(keys) :], strict=False):
+        assert re.fullmatch(r"a \.?[^\s@,]+@[^\s@,]+, b", new) and len(new) == len(old) + 5 and old.split("@")[0].strip(".") not in new and old.split("@")[1] not in new, (old, new)
+    assert got[-1].split()[0].lower() == got[-1].split()[1] == got[6][2:-3]
+
+
 def test_phones_have_one_surrogate(spark):
     digits = lambda x: re.sub(r"\D", "", x)
     same = ["+1 (068) 555-2748", "+10685552748", "+106 8555 2748", "+1-068-555-2748", "+1#068.555*2748"]
