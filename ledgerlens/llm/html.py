@@ -6,6 +6,9 @@ role says so never hold the article). Blocks that stay ambiguous, the short ones
 the label of the nearest decided neighbour in their own section; with none, an article's blocks are text and others
 are not.
 
+Classes and ids bar by whole tokens whose parts all say so (site-footer, but not no-sidebar or entry-header). They don't
+bar what they can't mean: what encloses an article, or most of the good text where there is a word for layout only.
+
 Defined results: null or empty html: empty text. Pages without a text block: empty text. Cut-off markup is read as
 far as it goes. Character references are decoded and white space in a block becomes one space; nothing is capped.
 Repeated rows give repeated results; other columns are ignored.
@@ -34,7 +37,11 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 BOILERPLATE = frozenset("nav footer aside form menu dialog select button fieldset noscript iframe object".split())
 SILENT = frozenset("script style template svg math head canvas textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|popup|promo\w*|related|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+_OTHERS = r"ads?|advert[a-z]*|comments?|consent|cookies?|disqus|gdpr|login|newsletter|notices?|popup|promo[a-z]*|related|share|sharing|signup|social|sponsor[a-z]*|subscribe"
+_LAYOUT = r"banner|breadcrumbs?|footer|header|masthead|menu|modal|nav[a-z]*|sidebar|skip|toolbar|widget"
+_PLACES = r"area|articles|bar|block|bottom|box|buttons|container|form|global|icons|inner|items?|left|links?|list|main|page|posts|primary|right|secondary|section|site|slot|top|unit|wrap|wrapper|[0-9]+"
+MARKS = re.compile(rf"(?<!\S)(?:(?:{_PLACES})[-_]+)*(?:{_OTHERS}|{_LAYOUT})(?:[-_]+(?:{_OTHERS}|{_LAYOUT}|{_PLACES}))*(?!\S)", re.I)
+OTHERS = re.compile(rf"(?<![a-z])(?:{_OTHERS})(?![a-z])", re.I)  # what isn't the author's, against mere layout
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
@@ -48,27 +55,38 @@ class Block:
     text: str
     linked: int  # characters inside links
     barred: bool  # inside boilerplate
+    marks: tuple[tuple[int, bool], ...]  # enclosing elements barred by class or id: number, whether a word of OTHERS
     section: int  # number of the enclosing article, 0 for none
     heading: bool
 
 
-def _barred(tag: str, attributes: str, in_article: bool) -> bool:
+def _barred(tag: str, attributes: str, in_article: bool) -> tuple[bool, str]:
+    """Whether an element is boilerplate for certain, and what its class or id says of it."""
     if tag in BOILERPLATE or tag == "header" and not in_article:
-        return True
+        return True, ""
+    said = ""
     for name, value in _NAMED.findall(attributes) if attributes else ():
         value = value.strip("\"'")
         if name.lower() == "role" and value.lower() in ROLES or name.lower() == "aria-hidden" and value.lower() == "true":
-            return True
-        if name.lower() in ("class", "id") and tag not in ("html", "body", "article", "main") and MARKS.search(value):
-            return True
-    return False
+            return True, ""
+        if name.lower() in ("class", "id") and tag not in ("html", "body", "article", "main", "header"):
+            said += "".join(f" {m[0]}" for m in MARKS.finditer(value))
+    return False, said
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
+    return _appeal(*_cut(page))
+
+
+def _cut(page: str) -> tuple[list[Block], dict[int, tuple[tuple[int, bool], ...]]]:
+    """The page's text blocks in order, and for each article the marked elements around it."""
     found: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, barred, article
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, barred, article, marks outside it
+    marks: tuple[tuple[int, bool], ...] = ()
+    around: dict[int, tuple[tuple[int, bool], ...]] = {}
+    marked = 0
     barred = articles = links = section = 0
     heading = False
     breaks = 0
@@ -78,13 +96,14 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(_html.unescape("".join(p for p, _ in parts)).split())
         if text:
             linked = len(" ".join(_html.unescape("".join(p for p, in_link in parts if in_link)).split()))
-            found.append(Block(text, linked, barred > 0, section if articles else 0, heading))
+            found.append(Block(text, linked, barred > 0, marks, section if articles else 0, heading))
         parts = []
 
     def close(upto: int) -> None:
-        nonlocal barred, articles, links
+        nonlocal barred, articles, links, marks
         while len(stack) > upto:
-            tag, was_barred, was_article = stack.pop()
+            tag, was_barred, was_article, outside = stack.pop()
+            marks = marks[:outside]
             barred -= was_barred
             articles -= was_article
             links -= tag == "a"
@@ -145,36 +164,63 @@ def blocks(page: str) -> list[Block]:
         article = tag in ("article", "main")
         if article:
             section = section + (articles == 0)
-        now = _barred(tag, attributes, articles > 0)
-        stack.append((tag, now, article))
+            around.setdefault(section, marks)
+        now, said = _barred(tag, attributes, articles > 0)
+        stack.append((tag, now, article, len(marks)))
+        if said:
+            marked += 1
+            marks += ((marked, OTHERS.search(said) is not None),)
         barred += now
         articles += article
         links += tag == "a"
     flush()
-    return found
+    return found, around
 
 
 GOOD, BAD, UNSURE = 1, -1, 0
 
 
+def _appeal(found: list[Block], around: dict[int, tuple[tuple[int, bool], ...]]) -> list[Block]:
+    """found with blocks barred by the marks that stand."""
+    if not any(b.marks for b in found):
+        return found
+    good = [0 if b.barred or _alone(b) != GOOD else len(b.text) for b in found]
+    by_section: dict[int, int] = {}
+    for b, n in zip(found, good, strict=True):
+        by_section[b.section] = by_section.get(b.section, 0) + n
+    free = any(n and not b.marks for b, n in zip(found, good, strict=True))
+    lifted = {i for k, outer in around.items() if not free or not any(others for _, others in outer) for i, _ in outer if by_section.get(k)}
+    main = max((k for k in by_section if k and by_section[k] and all(i in lifted for i, _ in around[k])), key=by_section.__getitem__, default=0)
+    total, inside = 0, {}
+    for b, n in zip(found, good, strict=True):
+        if n and b.section == main and not any(others and i not in lifted for i, others in b.marks):
+            total += n
+            for i, _ in b.marks:
+                inside[i] = inside.get(i, 0) + n
+    lifted |= {i for i, n in inside.items() if 2 * n > total}
+    for b in found:
+        b.barred = b.barred or any(i not in lifted for i, _ in b.marks)
+    return found
+
+
+def _alone(b: Block, short: int = 70, stop_low: float = 0.12, stop_high: float = 0.25, max_link: float = 0.5) -> int:
+    """A block's label by itself, the first pass."""
+    if b.barred:
+        return BAD
+    if b.linked > max_link * len(b.text):
+        return UNSURE if b.section else BAD
+    if len(b.text) < short:
+        return UNSURE
+    words = _WORD.findall(b.text.lower())
+    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    if density >= stop_high or b.section and density >= stop_low:
+        return GOOD
+    return BAD if density < stop_low and not b.section and len(words) >= 5 else UNSURE
+
+
 def classify(found: list[Block], short: int = 70, stop_low: float = 0.12, stop_high: float = 0.25, max_link: float = 0.5) -> list[bool]:
     """True for the article's blocks: pass 1 by the block alone, pass 2 by its neighbours."""
-    first = []
-    for b in found:
-        words = _WORD.findall(b.text.lower())
-        density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-        if b.barred:
-            first.append(BAD)
-        elif b.linked > max_link * len(b.text):
-            first.append(UNSURE if b.section and b.linked < 0.9 * len(b.text) else BAD)
-        elif len(b.text) < short:
-            first.append(UNSURE)
-        elif density >= stop_high or b.section and density >= stop_low:
-            first.append(GOOD)
-        elif density < stop_low and not b.section and len(words) >= 5:
-            first.append(BAD)
-        else:
-            first.append(UNSURE)
+    first = [_alone(b, short, stop_low, stop_high, max_link) for b in found]
     out = []
     before, after = _nearest(found, first), _nearest(found[::-1], first[::-1])[::-1]
     for b, label, prev, nxt in zip(found, first, before, after, strict=True):

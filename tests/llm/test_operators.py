@@ -117,6 +117,23 @@ def test_html(spark):
     assert "Also short." in html.extract(plain) and "edge" not in html.extract(plain)
 
 
+def test_html_class_words_need_appeal():
+    text = ["It is the first part of the text that was written for the page and all of it is read. " * 2, "And the other part of it is as long as the first was, so that it is read as well. " * 2]
+    want = "\n".join(x.strip() for x in text)
+    body = "".join(f"<p>{x}</p>" for x in text)
+    ad = f"<div class='ad'><p>{text[0].replace('page', 'sale') * 5}</p></div>"
+    assert html.extract(f"<article><header class='entry-header'><h1>The title</h1></header>{body}{ad}</article>") == f"The title\n{want}"
+    assert html.extract(f"<main><header class='header'><h1>The title</h1></header>{body}</main>") == f"The title\n{want}"
+    for name in ("content no-sidebar", "has-sidebar", "elementor-widget", "sidebar", "widget wrapper", "main-header"):
+        for inner in (body, f"<article>{body}</article>", f"<article>{body}{ad}</article>"):
+            assert html.extract(f"<div class='{name}'>{inner}</div>{ad}<div class='site-footer'>{text[1]}</div>") == want, (name, inner)
+    for name in ("comments", "comment-list", "cookie-notice", "related", "ad-slot", "sidebar", "site-footer"):
+        for inner in (f"<p>{text[0].replace('page', name)}</p>", f"<article><p>{text[0].replace('page', name)}</p></article>")[: 1 + (name in ("comments", "related"))]:
+            assert html.extract(f"<article>{body}</article><div id='{name}'>{inner}</div>") == want, (name, inner)
+    sources = "<ul><li><a href=x>The first source of the text</a></li><li><a href=y>The second of all the sources that are in the list of the page, which is long</a></li></ul>"
+    assert html.extract(f"<article>{body}{sources}</article>").split("\n")[2:] == ["The first source of the text", "The second of all the sources that are in the list of the page, which is long"]
+
+
 def test_lattice_equals_library(docs, none):
     import sentencepiece
 
