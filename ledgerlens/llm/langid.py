@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UND = "und"
@@ -37,18 +37,22 @@ def letters(text: str) -> bytes:
 def fit(labelled: DataFrame, docs_per_lang: int = 400, chars_per_doc: int = 1000, dict_bytes: int = 110_000) -> dict[str, bytes]:
     """Dictionaries by language from columns text, lang.
 
-    The sample is bounded: about docs_per_lang rows of a language, chars_per_doc characters of each and dict_bytes
-    in all. Rows are chosen by a hash of their text at a rate set by the language's row count.
+    The sample is bounded: docs_per_lang different texts of a language, or all it has, chars_per_doc characters of each
+    and dict_bytes in all. They are those of the least hashes, so copies neither add to nor take from a language's
+    sample. A rate from the number of different texts leaves few rows to rank, at over twice docs_per_lang expected, and
+    all texts of a language that has no more than that.
     """
     rows = labelled.filter("lang is not null and length(trim(text)) > 0").select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    counts = {r["lang"]: r["n"] for r in hashed.distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
-    scale = 1 << 30
-    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(scale, scale * docs_per_lang // n)))])
-    take = F.pmod(F.xxhash64("text"), F.lit(scale)) < rate[F.col("lang")]
-    sample = rows.filter(take).select("lang", F.substring("text", 1, chars_per_doc).alias("text"), F.xxhash64("text").alias("h"))
-    got = sample.dropDuplicates(["lang", "h"]).orderBy("h", "lang").limit(2 * docs_per_lang * len(counts)).collect()
+    scale = 1 << 40
+    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(scale, -(-scale * (2 * docs_per_lang + 100) // n))))])
+    place = F.pmod(F.xxhash64("text"), F.lit(scale))
+    sample = rows.filter(place < rate[F.col("lang")]).select("lang", F.substring("text", 1, chars_per_doc).alias("text"), place.alias("place"), F.xxhash64("text").alias("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "h"))
+    got = sample.dropDuplicates(["lang", "h"]).withColumn("rank", rank).filter(F.col("rank") <= docs_per_lang).orderBy("place", "h", "lang").collect()
     found: dict[str, bytes] = {}
     for lang in sorted(counts):
         data = b" ".join(letters(r["text"]) for r in got if r["lang"] == lang)[:dict_bytes]

@@ -264,6 +264,16 @@ def test_language(spark, none):
     assert langid.op9(none).count() == 0
 
 
+def test_language_of_few_texts_among_copies(spark):
+    en, de, fr = ("the river and the stone of a garden that was with them", "der fluss und die steine von einem garten die mit ihnen waren", "le fleuve et les pierres dans un jardin qui \u00e9tait avec eux")
+    text = lambda words, i: " ".join(random.Random(i).choices(words.split(), k=40))
+    data = [(text(en, i), "en") for i in range(900)] + [(text(de, i), "de") for i in range(300)] + [(text(fr, i), "fr") for i in range(5)] + [(text(fr, 0), "fr")] * 40_000
+    got = langid.fit(spark.createDataFrame(data, "text string, lang string"), docs_per_lang=20, dict_bytes=1 << 30)
+    assert sorted(got) == ["de", "en", "fr"] and all(len(got["fr"].split(langid.letters(text(fr, i)))) == 2 for i in range(5))
+    for lang, words, n in (("en", en, 900), ("de", de, 300)):
+        assert sum(langid.letters(text(words, i)) in got[lang] for i in range(n)) == 20
+
+
 def test_surrogates(spark, none):
     texts = [
         "Mail jo.doe12@mail.example.com or JO.DOE12@MAIL.EXAMPLE.COM, +1 (068) 555-2748 and +1-068-555-2748.", "Card 4111 1111 1111 1111 and 4111111111111111, ip 10.0.0.1!", "Mr. John Smith met Ms Smith and Mrs. MARY SMITH; Господин Иван Петров.",
