@@ -2,7 +2,7 @@
 
 Two public vocabularies measure every whole text: characters per token (a byte-level BPE for many languages),
 the share of byte-fallback tokens and the token entropy (a SentencePiece BPE), the last as the mean over windows of
-`window` tokens so that it doesn't depend on a text's length. Each language, or where that is null each script, gets
+`window` tokens, the tail's among them, so that it doesn't depend on a text's length. Each language, or where that is null each script, gets
 rejection bands around its own median, in units of its median absolute deviation, from all its documents that pass the base
 rules. Junk shortens tokens and repeats them at once, so the first band is on the sum of both deviations.
 
@@ -97,16 +97,25 @@ def vocabularies(piece_path: str | None, bpe_path: str | None) -> Vocabularies:
 
 
 def entropy(ids: np.ndarray, window: int = 128) -> float:
-    """Mean entropy in bits over whole windows, or over the text if it is shorter than one."""
+    """Mean entropy in bits over whole windows and the last one, which counts by the tokens that only it holds; over the
+    text if it is shorter than a window."""
     if not len(ids):
         return 0.0
     width = min(window, len(ids))
-    rows = np.sort(ids[: len(ids) // width * width].reshape(-1, width), axis=1)
+    rest = len(ids) % width
+    rows = ids[: len(ids) - rest].reshape(-1, width)
+    if rest:
+        rows = np.concatenate((rows, ids[None, -width:]))
+    rows = np.sort(rows, axis=1)
     new = np.ones(rows.shape, dtype=bool)
     new[:, 1:] = rows[:, 1:] != rows[:, :-1]
     starts = np.flatnonzero(new.ravel())
     counts = np.diff(np.append(starts, rows.size))
-    return float(np.log2(width) - (counts * np.log2(counts)).sum() / rows.size)
+    bits = counts * np.log2(counts)
+    if rest:
+        last = np.searchsorted(starts, rows.size - width)
+        bits[last:] *= rest / width
+    return float(np.log2(width) - bits.sum() / len(ids))
 
 
 def repeated_words(words: list[str], n: int = 3) -> int:

@@ -97,6 +97,18 @@ def test_fertility(docs, none):
     assert fertility.op2(none).count() == 0 and fertility.keep(docs).columns == docs.columns
 
 
+def test_entropy_counts_every_token():
+    r = np.random.default_rng(4)
+    for n in (1, 100, 127, 128, 129, 255, 256, 400):
+        ids = r.integers(0, 60, n).astype("<u2")
+        bits = lambda x: -sum(c / len(x) * np.log2(c / len(x)) for c in Counter(x.tolist()).values())
+        width, rest = min(n, 128), n % min(n, 128)
+        want = (sum(width * bits(ids[i : i + width]) for i in range(0, n - rest, width)) + rest * bits(ids[-width:])) / n
+        assert fertility.entropy(ids) == pytest.approx(want)
+    clean = r.permutation(128).astype("<u2")
+    assert fertility.entropy(np.concatenate((clean, np.full(127, 7, "<u2")))) < 4 < 6.9 < fertility.entropy(clean)
+
+
 def test_fertility_rejects_junk(spark):
     clean = [prose(i, 150) for i in range(40)]
     junk = [" | ".join(w.title() for w in prose(i, 30).split()) + " ### $$$ %%%" * 60 for i in range(100, 103)]
