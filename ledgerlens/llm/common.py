@@ -6,9 +6,11 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +105,36 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object
         yield current, pa.Table.from_batches(held).combine_chunks()
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `most` bytes of text in a column, a single longer text by itself."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // most)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings for what is planned inside; put back after it."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def unused(taken: list[str], name: str) -> str:
+    """name, with as many more underscores as it takes to differ from all of taken."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def fetch(df: DataFrame, at_once: int = 8) -> Iterator:
     """Rows of a bounded result on the driver, a share of about 1 / at_once at a time."""
     yield from df.coalesce(at_once).toLocalIterator(prefetchPartitions=True)

@@ -15,7 +15,6 @@ their texts. Empty table: no blocks. A document longer than a block has a block
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -25,18 +24,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions, shared_dir
+from ledgerlens.llm.common import Scratch, partitions, shared_dir, slices
 
 BITS = 18  # the frequencies of a table sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states are at least LOW and below LOW << 32
 MAGIC, VERSION = b"LRNS", 1
 _HEAD = struct.Struct("<4sHHIIIIIIQ")
-_ODD_SPACE = re.compile(r"[^\S\n]\s|\s[^\S\n]")  # runs of white space other than line ends alone
-_LINE_ENDS = re.compile(r"(\n+)")
+#: White space of any kind, and without line ends, as classes of Arrow's expressions.
+_SPACE = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_NO_END = _SPACE.replace(r"\x{9}-\x{D}", r"\x{9}\x{B}-\x{D}")
+#: A space first, white space last, or runs of white space other than line ends alone.
+_ODD = rf"\A |[{_SPACE}]\z|[{_NO_END}][{_SPACE}]|[{_SPACE}][{_NO_END}]"
 
 
 def normalise(counts: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -79,7 +82,7 @@ class Block:
     lengths: np.ndarray
     tokens: np.ndarray
 
-    def pack(self, table: Table, max_lanes: int = 512, checkpoint_steps: int = 128) -> bytes:
+    def pack(self, table: Table, max_lanes: int = 2048, checkpoint_steps: int = 128) -> bytes:
         n = len(self.tokens)
         lanes = 1 << max(0, min(max_lanes, n // 128).bit_length() - 1)
         states, words, points = encode(self.tokens, table, lanes, checkpoint_steps)
@@ -164,12 +167,13 @@ def decode(states: np.ndarray, words: np.ndarray, n: int, table: Table) -> np.nd
 
 
 class Encoder:
-    """Ids of whole texts as bytes of little-endian 16- or 32-bit integers.
+    """Ids of whole texts as bytes of little-endian 16- or 32-bit integers, as the tokenizers library gives them by default:
+    the string of an added token is that token.
 
-    A text is cut at its single spaces, and a new chunk again at line ends and before closing punctuation, where the
-    vocabulary's pattern always cuts too; each part goes through the tokenizers library once and is remembered. Two
-    generations of `most` parts each are held: what the younger lacks is looked up in the older and moves up. Texts
-    with other spacing go through the library whole.
+    A text is cut at its single spaces, where the vocabulary's pattern always cuts too. Words that aren't remembered go
+    through the library many at a time, as one string: the ids that start with a space tell where each word begins. Two
+    generations of `most` words each are held: what the younger lacks is looked up in the older and moves up. Texts with
+    other spacing or an added token go through the library whole. Closing punctuation is looked up apart from its word.
     """
 
     def __init__(self, path: str, most: int = 600_000):
@@ -179,84 +183,90 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings are ordinary text
-        self.kind, self.code = ("<u2", "H") if self.tok.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.bpe = self.tok.model
+        size = self.tok.get_vocab_size()
+        self.kind, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.opens = np.zeros(size, dtype=bool)  # ids that start with a space, \u0120 in a byte-level vocabulary
+        for token, i in self.tok.get_vocab().items():
+            self.opens[i] = token.startswith("\u0120")
         self.most, self.seen, self.old = most, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Chunks start with a space unless they start a text or line."""
-        missing = chunks.difference(self.seen)
+    def learn(self, words: set[str], at_once: int = 1000) -> None:
+        """Words follow a space, and hold no space and no white space at an end."""
+        missing = words.difference(self.seen)
         if len(self.seen) + len(missing) > self.most:
-            self.old, self.seen, missing = self.seen, {}, chunks
-        seen, old, new = self.seen, self.old, []
-        for c in missing:
-            if (known := old.get(c)) is not None:
-                seen[c] = known
+            self.old, self.seen, missing = self.seen, {}, words
+        seen, old = self.seen, self.old
+        new, tailed = [], []
+        for w in missing:
+            if (known := old.get(w)) is not None:
+                seen[w] = known
+            elif w[-1:] in _CLOSING and (core := w.rstrip(_CLOSING)).isalpha() and max(core) < "\u0500":  # the pattern cuts after the letters
+                tailed.append((w, core, w[len(core) :]))
             else:
-                new.append(c)
-        parts = {c: _parts(c) for c in new}
-        alone = list({p for ps in parts.values() for p in ps if p not in seen and p not in old})
-        fresh = dict(zip(alone, self.whole(alone), strict=True))
-        for c, ps in parts.items():
-            seen[c] = b"".join([fresh[p] if p in fresh else seen[p] if p in seen else old[p] for p in ps])
-        for p in alone:
-            seen.setdefault(p, fresh[p])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+                new.append(w)
+        if tailed:
+            cores = {core for _, core, _ in tailed}.difference(seen, new)
+            new += cores.difference(old)
+            seen.update((c, old[c]) for c in cores if c in old)
+        plain = [w for w in new if w.isascii() and w.isalpha()]
+        new = [w for w in new if not (w.isascii() and w.isalpha())]
+        groups = [new[i : i + at_once] for i in range(0, len(new), at_once)]
+        width = np.dtype(self.kind).itemsize
+        for group, e in zip(groups, self.tok.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=self.kind)
+            edges = (np.flatnonzero(self.opens[ids]) * width).tolist()
+            if len(edges) != len(group):
+                raise ValueError("the pattern doesn't cut at spaces")
+            data = ids.tobytes()
+            seen.update(zip(group, [data[a:b] for a, b in zip(edges, [*edges[1:], len(data)], strict=True)], strict=True))
+        # the pattern leaves ASCII letters after a space whole, so these go to the library's model at once
+        seen.update((w, array(self.code, [t.id for t in self.bpe.tokenize("\u0120" + w)]).tobytes()) for w in plain)
+        ends = list({tail for _, _, tail in tailed})
+        tails = dict(zip(ends, self.whole(ends), strict=True))
+        seen.update((w, seen[core] + tails[tail]) for w, core, tail in tailed)
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        for t in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, t))
+        odd = odd.to_numpy(zero_copy_only=False)
+        cut = ~odd & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0)
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
-        odd = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if text[0] == " " or text[-1].isspace() or _ODD_SPACE.search(text):
-                odd.append(i)
-            else:
-                cut[i] = text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else re.split("(?= )", text)
-        for i, data in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
+        for i, data in zip(np.flatnonzero(odd).tolist(), self.whole(texts.filter(pa.array(odd)).to_pylist()), strict=True):
             out[i] = data
-        held: list[int] = []
-        chunks: set[str] = set()
-
-        def close() -> None:
-            self.learn(chunks)
-            get = self.seen.__getitem__
-            for i in held:
-                out[i] = b"".join(map(get, cut[i]))
-
-        for i, parts in cut.items():
-            held.append(i)
-            chunks.update(parts)
-            if len(chunks) > self.most // 4:
-                close()
-                held, chunks = [], set()
-        close()
+        parts = pc.split_pattern(texts.filter(pa.array(cut)), " ")
+        if not len(parts):
+            return out
+        edges = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        self.learn(set(words))
+        first = edges[:-1]  # no space before these
+        ids = [*map(self.seen.__getitem__, words), *self.whole([words[c] for c in codes[first].tolist()])]
+        codes = codes.astype(np.int64)
+        codes[first] = len(words) + np.arange(len(first))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        sizes //= flat.itemsize
+        size = sizes[codes]
+        ends = np.cumsum(size)
+        joined = flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - size), size) + np.arange(ends[-1])].tobytes()
+        stops = (ends[edges[1:] - 1] * flat.itemsize).tolist()
+        for i, a, b in zip(np.flatnonzero(cut).tolist(), [0, *stops], stops, strict=False):
+            out[i] = joined[a:b]
         return out
 
 
-_END = ".,;:!?%*#$&|"
+_CLOSING = ".,;:!?"
 _encoders: dict[str, Encoder] = {}
 
 
-def _parts(chunk: str) -> list[str]:
-    """Where the pattern cuts a chunk for certain: around line ends, of which the last in a run stands alone, and between
-    letters and closing punctuation. Line ends have no other white space beside them, nor end the chunk."""
-    out = []
-    for k, line in enumerate(_LINE_ENDS.split(chunk)):
-        if k % 2:
-            out += [line[:-1], "\n"] if len(line) > 1 else ["\n"]
-            continue
-        core = line.rstrip(_END)
-        if core != line and core.lstrip(" ").isalpha():
-            out += [core, line[len(core) :]]
-        elif line:
-            out.append(line)
-    return out
-
-
 def encoder(path: str) -> Encoder:
     """One for each worker process, so that its memory serves all of its tasks."""
     if path not in _encoders:
@@ -267,7 +277,7 @@ def encoder(path: str) -> Encoder:
 RAW = "shard int, block int, start long, doc_ids array<long>, lengths array<int>, tokens binary"
 
 
-def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens: int = 1 << 17, shards: int | None = None) -> DataFrame:
+def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens: int = 1 << 19, shards: int | None = None) -> DataFrame:
     """Blocks of ids before coding; `start` counts from the shard's first id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +293,7 @@ def raw_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens:
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([b"".join(parts)], pa.binary())], names=["shard", "block", "start", "doc_ids", "lengths", "tokens"])
 
         for batch in batches:
-            for doc, data in ((d, x + end) for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)) for d, x in zip(part.column(0).to_pylist(), encode_(part.column(1).to_pylist()), strict=True)):
+            for doc, data in ((d, x + end) for part in slices(batch, 1) for d, x in zip(part.column(0).to_pylist(), encode_(part.column(1)), strict=True)):
                 n = len(data) // width
                 if ids and held + n > block_tokens:
                     yield row()
