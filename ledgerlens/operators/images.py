@@ -63,29 +63,112 @@ def regression_angle(gray: np.ndarray, max_angle: float) -> float | None:
     return float(np.clip(np.degrees(np.arctan(slope)), -max_angle, max_angle))
 
 
+def otsu(gray: np.ndarray) -> int:
+    """The brightness that parts dark from light with the largest variance between them."""
+    n = np.bincount(gray.ravel(), minlength=256).astype(float)
+    below, total = n.cumsum(), (n * np.arange(256)).cumsum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        between = (total[-1] * below / below[-1] - total) ** 2 / (below * (below[-1] - below))
+    return int(np.nanargmax(np.where(np.isfinite(between), between, -1)))
+
+
+def hough_angle(gray: np.ndarray, max_angle: float, step: float = 0.1, most: int = 200_000) -> float | None:
+    """The upper median angle of the strongest lines through the lower edges of dark areas, within max_angle + 1 degrees."""
+    small = gray[:: max(1, gray.shape[0] // 1200), :: max(1, gray.shape[0] // 1200)]
+    dark = small <= otsu(small)
+    y, x = np.nonzero(dark[:-1] & ~dark[1:])
+    if len(x) < 8:
+        return None
+    x, y = x[:: -(-len(x) // most)].astype(float), y[:: -(-len(x) // most)].astype(float)
+    angles = np.arange(-max_angle - 1, max_angle + 1 + step / 2, step)
+    peaks = [np.bincount(np.rint(y - x * np.tan(np.radians(t)) + small.shape[1]).astype(int)).max() for t in angles]
+    found = angles[np.array(peaks) >= 0.9 * max(peaks)]
+    return float(np.clip(np.sort(found)[len(found) // 2], -max_angle, max_angle))
+
+
+def rectangle_angle(gray: np.ndarray) -> float | None:
+    """The angle, within 45 degrees, of the smallest rectangle around all pixels that aren't white."""
+    mask = gray < 255
+    rows = np.flatnonzero(mask.any(axis=1))
+    if len(rows) < 2:
+        return None
+    left, right = mask[rows].argmax(axis=1), mask.shape[1] - 1 - mask[rows, ::-1].argmax(axis=1)
+    points = sorted({(int(a), int(b)) for a, b in zip(np.r_[left, right], np.r_[rows, rows], strict=True)})
+
+    def chain(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        for p in points:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
+                out.pop()
+            out.append(p)
+        return out[:-1]
+
+    hull = np.array(chain(points) + chain(points[::-1]), dtype=float)
+    if len(hull) < 3:
+        return None
+    edges = np.roll(hull, -1, axis=0) - hull
+    best = None
+    for t in np.unique(np.arctan2(edges[:, 1], edges[:, 0]) % (np.pi / 2)):
+        along, across = hull @ [np.cos(t), np.sin(t)], hull @ [-np.sin(t), np.cos(t)]
+        area = np.ptp(along) * np.ptp(across)
+        if best is None or area < best[0]:
+            best = (area, t)
+    angle = float(np.degrees(best[1]))
+    return angle - 90 if angle > 45 else angle
+
+
 def rotate(a: np.ndarray, angle: float, fill: int = 255) -> np.ndarray:
-    """Turned about the middle, by inverse bilinear sampling."""
+    """Turned about the middle, by inverse bicubic sampling in bands, which bound the memory."""
     h, w = a.shape[:2]
     t = np.radians(angle)
-    y, x = np.mgrid[0:h, 0:w].astype(float)
     cy, cx = (h - 1) / 2, (w - 1) / 2
-    sx, sy = np.cos(t) * (x - cx) - np.sin(t) * (y - cy) + cx, np.sin(t) * (x - cx) + np.cos(t) * (y - cy) + cy
-    return sample(a, sx, sy, fill)
+    out = np.empty_like(a)
+    for top in range(0, h, 256):
+        y, x = np.mgrid[top : min(h, top + 256), 0:w].astype(np.float32)
+        out[top : top + 256] = sample(a, np.cos(t) * (x - cx) - np.sin(t) * (y - cy) + cx, np.sin(t) * (x - cx) + np.cos(t) * (y - cy) + cy, fill)
+    return out
 
 
-def sample(a: np.ndarray, x: np.ndarray, y: np.ndarray, fill: int | None = None) -> np.ndarray:
+def cubic(d: np.ndarray) -> np.ndarray:
+    """The cubic convolution kernel with slope -1/2."""
+    d = np.abs(d)
+    return np.where(d < 1, (1.5 * d - 2.5) * d * d + 1, np.where(d < 2, ((-0.5 * d + 2.5) * d - 4) * d + 2, 0.0)).astype(np.float32)
+
+
+def sample(a: np.ndarray, x: np.ndarray, y: np.ndarray, fill: int) -> np.ndarray:
+    """Bicubic values at places; fill outside."""
     h, w = a.shape[:2]
-    x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
-    fx, fy = x - x0, y - y0
-    if a.ndim == 3:
-        fx, fy = fx[..., None], fy[..., None]
-    at = lambda i, j: a[np.clip(j, 0, h - 1), np.clip(i, 0, w - 1)].astype(float)
-    out = (at(x0, y0) * (1 - fx) + at(x0 + 1, y0) * fx) * (1 - fy) + (at(x0, y0 + 1) * (1 - fx) + at(x0 + 1, y0 + 1) * fx) * fy
-    if fill is not None:
-        out[(x < 0) | (y < 0) | (x > w - 1) | (y > h - 1)] = fill
+    x0, y0 = np.floor(x).astype(np.int32), np.floor(y).astype(np.int32)
+    out = np.zeros((*x.shape, *a.shape[2:]), np.float32)
+    for j in range(-1, 3):
+        row, wy = np.clip(y0 + j, 0, h - 1), cubic(y - (y0 + j))
+        for i in range(-1, 3):
+            weight = wy * cubic(x - (x0 + i))
+            out += (weight if a.ndim == 2 else weight[..., None]) * a[row, np.clip(x0 + i, 0, w - 1)]
+    out[(x < 0) | (y < 0) | (x > w - 1) | (y > h - 1)] = fill
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
+def _along(a: np.ndarray, size: int) -> np.ndarray:
+    """The first axis brought to a size by a cubic kernel, wider when it shrinks."""
+    scale = a.shape[0] / size
+    wide = max(scale, 1.0)
+    middle = (np.arange(size) + 0.5) * scale - 0.5
+    first = np.ceil(middle - 2 * wide).astype(int)
+    taps = range(int(np.floor(4 * wide)) + 1)
+    weights = np.stack([cubic((first + k - middle) / wide) * ((first + k >= 0) & (first + k < a.shape[0])) for k in taps])
+    weights /= weights.sum(axis=0)
+    out = np.zeros((size, *a.shape[1:]), np.float32)
+    for k in taps:
+        out += weights[k].reshape(-1, *[1] * (a.ndim - 1)) * a[np.clip(first + k, 0, a.shape[0] - 1)]
+    return out
+
+
+def candidate_angles(gray: np.ndarray, max_angle: float) -> list[float]:
+    """What regression, lines and the smallest rectangle say of the skew."""
+    return [x for x in (regression_angle(gray, max_angle), hough_angle(gray, max_angle), rectangle_angle(gray)) if x is not None]
+
+
 def deskew(a: np.ndarray, max_angle: float = 5.0, min_angle: float = 1.0) -> Step:
     gray = luma(a)
     box = _box(gray < 240)
@@ -93,17 +176,15 @@ def deskew(a: np.ndarray, max_angle: float = 5.0, min_angle: float = 1.0) -> Ste
         return a, False, "no content to deskew"
     if (box[2] - box[0]) * (box[3] - box[1]) < 0.3 * gray.size:
         return a, False, "content covers too little of the page"
-    angle = regression_angle(gray, max_angle)
+    angle = min(candidate_angles(gray, max_angle), key=abs, default=None)
     if angle is None or abs(angle) < max(min_angle, 0.1):
         return a, False, "angle too small" if angle is not None else "no angle found"
     return rotate(a, float(np.clip(angle, -max_angle, max_angle))), True, None
 
 
 def _resized(a: np.ndarray, width: int, height: int) -> np.ndarray:
-    h, w = a.shape[:2]
-    x = np.clip((np.arange(width) + 0.5) * w / width - 0.5, 0, w - 1)
-    y = np.clip((np.arange(height) + 0.5) * h / height - 0.5, 0, h - 1)
-    return sample(a, *np.meshgrid(x, y))
+    out = _along(np.swapaxes(_along(a, height), 0, 1), width)
+    return np.clip(np.rint(np.swapaxes(out, 0, 1)), 0, 255).astype(np.uint8)
 
 
 def resize(a: np.ndarray, max_width: int, max_height: int) -> Step:
@@ -141,11 +222,25 @@ def contrast(a: np.ndarray, factor: float = 1.2) -> Step:
     return np.clip(mean + (a.astype(float) - mean) * factor, 0, 255).astype(np.uint8), True, None
 
 
-def adaptive_binarization(a: np.ndarray, window: int = 35, offset: int = 10) -> Step:
-    """Black and white about the blurred page's mean, less an offset."""
+def gaussian_mean(gray: np.ndarray, window: int) -> np.ndarray:
+    """Means under a Gaussian window of odd size, edges repeated."""
+    half = window // 2
+    weights = np.exp(-(np.arange(-half, half + 1) ** 2) / (2 * (0.3 * ((window - 1) * 0.5 - 1) + 0.8) ** 2)).astype(np.float32)
+    weights /= weights.sum()
+    out = gray.astype(np.float32)
+    for axis in (0, 1):
+        wide = np.pad(out, [(half, half) if k == axis else (0, 0) for k in (0, 1)], mode="edge")
+        out = sum(w * (wide[k : k + gray.shape[0]] if axis == 0 else wide[:, k : k + gray.shape[1]]) for k, w in enumerate(weights))
+    return out
+
+
+def adaptive_binarization(a: np.ndarray, window: int = 35, offset: int = 10, local: bool = False) -> Step:
+    """Black and white about the blurred page's mean, less an offset; with local about each place's Gaussian mean."""
     if window < 3:
         return a, False, None
     gray = luma(a)
+    if local:
+        return np.where(gray > gaussian_mean(gray, window | 1) - offset, 255, 0).astype(np.uint8), True, None
     k = max(1, (window | 1) // 4)
     wide = np.pad(gray.astype(np.int64), k, mode="edge")
     sums = np.pad(wide.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
@@ -184,6 +279,31 @@ def preprocess(images: DataFrame, chain=CHAIN, independent: bool = False) -> Dat
     return images.select("doc_id", "height", "width", "channels", "data").mapInPandas(run, SCHEMA)
 
 
+def png(a: np.ndarray, dpi: int = 0) -> bytes:
+    """The bytes of a PNG file, with its resolution if dpi is above 0."""
+    import struct
+    import zlib
+
+    h, w = a.shape[:2]
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    lines = np.concatenate([np.zeros((h, 1), np.uint8), a.reshape(h, -1)], axis=1).tobytes()
+    size = chunk(b"pHYs", struct.pack(">IIB", *[round(dpi / 0.0254)] * 2, 1)) if dpi > 0 else b""
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0 if a.ndim == 2 else 2, 0, 0, 0)) + size + chunk(b"IDAT", zlib.compress(lines, 6)) + chunk(b"IEND", b"")
+
+
+def png_files(done: DataFrame, dpi: int = 0) -> DataFrame:
+    """name (stem, two underscores, the last step) and content of a PNG file for each row of preprocess that has an image."""
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("binary")
+    def encode(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
+        return pd.Series([png(np.frombuffer(d, np.uint8).reshape((h, w) if c == 1 else (h, w, c)), dpi) for h, w, c, d in zip(height, width, channels, data, strict=True)])
+
+    stem = F.regexp_replace(F.element_at(F.split("doc_id", "/"), -1), r"\.[^.]*$", "")
+    found = done.filter("data is not null")
+    return found.select(F.concat(stem, F.lit("__"), F.element_at("steps", -1)["step"], F.lit(".png")).alias("name"), encode("height", "width", "channels", "data").alias("content"))
+
+
 def applied_steps(docs: DataFrame) -> DataFrame:
     """The names of the steps that changed something, and all warnings."""
     from pyspark.sql import functions as F

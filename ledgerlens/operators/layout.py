@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,38 @@ def words_of_polygons(results: DataFrame) -> DataFrame:
     return each.select("doc_id", F.col("i").alias("pos"), "w.text", edge(F.array_min, 0).alias("x1"), edge(F.array_min, 1).alias("y1"), edge(F.array_max, 0).alias("x2"), edge(F.array_max, 1).alias("y2"), F.col("w.score").cast("double").alias("confidence"), F.lit(1).alias("page_num"), *((F.col("i") + 1).alias(c) for c in ("block_num", "line_num", "word_num")))
 
 
+Recogniser = Callable[[bytes], "str | None"]
+
+
+def tesseract(lang: str = "eng", psm: int = 6, oem: int = 3, command: str = "tesseract") -> Recogniser:
+    """An engine that runs the program of that name on each image; RuntimeError where it isn't installed."""
+
+    def run(content: bytes) -> str | None:
+        import subprocess
+
+        try:
+            done = subprocess.run([command, "stdin", "stdout", "-l", lang, "--psm", str(psm), "--oem", str(oem), "tsv"], input=content, capture_output=True, check=False)
+        except FileNotFoundError as error:
+            raise RuntimeError(f"{command} isn't installed on this worker") from error
+        return done.stdout.decode("utf-8", "replace") if done.returncode == 0 else None
+
+    return run
+
+
+def recognise(scans: DataFrame, engine: Recogniser | None = None) -> DataFrame:
+    """Word rows from files (doc_id, content): engine gives a table of tab-separated text for an image, or None for no
+    words. Without an engine, the stub, there are no words."""
+    names = "level page_num block_num par_num line_num word_num left top width height conf text".split()
+
+    @F.pandas_udf("array<array<string>>")
+    def run(contents: pd.Series) -> pd.Series:
+        tables = [engine(c) if engine and c is not None else None for c in contents]
+        return pd.Series([[f for f in (line.split("\t") for line in (t or "").splitlines()[1:]) if len(f) == len(names)] for t in tables])
+
+    rows = scans.select("doc_id", F.posexplode(run("content")).alias("pos", "f"))
+    return words_of_tsv(rows.select("doc_id", "pos", *(F.col("f")[i].alias(n) for i, n in enumerate(names))))
+
+
 def first_result(docs: DataFrame, *engines: str) -> DataFrame:
     """The words of the first engine (a column each) that has a result, its name, and the engines asked; `stub` and no words without any."""
     found = F.coalesce(*(F.when(F.col(e).isNotNull(), F.struct(F.col(e).alias("words"), F.lit(e).alias("engine"))) for e in engines))
@@ -67,8 +100,6 @@ def first_subtokens(predictions: DataFrame) -> DataFrame:
 
 def model_labels(words: DataFrame, label: Callable[[list[list[str]], list[list[list[int]]]], list[list[tuple[str, float]]]], name: str, most: int = 512) -> DataFrame:
     """As stub_labels, from a model: label(texts, boxes) for a batch of documents; words beyond `most` are left out, as the model's window does."""
-    import pandas as pd
-
     kind = "array<struct<label: string, score: double>>"
 
     @F.pandas_udf(kind)
@@ -81,6 +112,25 @@ def model_labels(words: DataFrame, label: Callable[[list[list[str]], list[list[l
     return got.withColumns({"tokens": tokens, "engine": F.lit("huggingface"), "model_name": F.lit(name)}).drop("got_")
 
 
+def with_images(words: DataFrame, images: DataFrame) -> DataFrame:
+    """words of the documents that have an image that can be read (doc_id, data); a model of pages can't label the others."""
+    return words.join(images.filter("data is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def annotate(words: DataFrame, backend: str = "stub", load: Callable[[], Callable] | None = None, name: str = "", images: DataFrame | None = None) -> DataFrame:
+    """Labels by a backend's name: a model that load() can't bring up, or that isn't there, is the stub. Documents without an
+    image have no tokens where the model needs images."""
+    label = None
+    if backend not in ("stub", "disabled") and load is not None:
+        try:
+            label = load()
+        except Exception:  # noqa: BLE001 - whatever is missing, the stub stands in
+            label = None
+    if label is None:
+        return stub_labels(words)
+    return model_labels(with_images(words, images) if images is not None else words, label, name or backend)
+
+
 def heuristic_blocks(words: DataFrame) -> DataFrame:
     """(doc_id, kind, box, confidence): header is the top 22 % of the words' extent, totals the bottom 18 %, the table lies between."""
     extent = words.groupBy("doc_id").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))

@@ -15,11 +15,39 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id and height, width, channels, data (RGB rows) of images; files that aren't images have null data."""
+    """doc_id and height, width, channels, data (rows of gray or RGB) of images; files that aren't images have null data."""
+    import numpy as np
+    import pyarrow as pa
+
     read = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path)
     i = F.col("image")
-    ok = i["height"] > 0
-    return read.select(i["origin"].alias("doc_id"), *(F.when(ok, i[c]).alias(n) for c, n in (("height", "height"), ("width", "width"), ("nChannels", "channels"), ("data", "bgr"))))
+    rows = read.select(i["origin"].alias("doc_id"), *(F.when(i["height"] > 0, i[c]).alias(n) for c, n in (("height", "height"), ("width", "width"), ("nChannels", "channels"), ("data", "data"))))
+
+    def rgb(batches):
+        for batch in batches:
+            for k, (channels, data) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):  # pages are large: one at a time
+                colours = 3 if (channels or 0) > 1 else channels
+                if colours == 3:  # Spark's rows are blue, green, red and perhaps alpha
+                    data = np.frombuffer(data, np.uint8).reshape(-1, channels)[:, 2::-1].tobytes()
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(k, 1) for j in range(3)), pa.array([colours], pa.int32()), pa.array([data], pa.binary())], names=["doc_id", "height", "width", "channels", "data"])
+
+    return rows.mapInArrow(rgb, "doc_id string, height int, width int, channels int, data binary")
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """Files (name, content) into a folder that all executors have mounted; a file appears whole or not at all."""
+
+    def write(rows) -> None:
+        import os
+
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            part = os.path.join(folder, f".{r['name']}.{os.getpid()}")
+            with open(part, "wb") as f:
+                f.write(r["content"])
+            os.replace(part, os.path.join(folder, r["name"]))
+
+    files.select("name", "content").foreachPartition(write)
 
 
 def _json(spark: SparkSession, path: str, schema: str, mode: str = "PERMISSIVE") -> DataFrame:
@@ -68,14 +96,40 @@ def write_json(docs: DataFrame, path: str, single: bool = False) -> None:
 
 
 def write_stages(docs: DataFrame, path: str) -> None:
-    """The vision path's four outputs: raw, parsed, validation, json."""
-    docs.select("doc_id", "raw_text").write.mode("overwrite").json(f"{path}/raw")
-    docs.select("doc_id", F.to_json("parsed").alias("parsed"), "parse_error").write.mode("overwrite").json(f"{path}/parsed")
-    docs.select("doc_id", "validation", "llm").write.mode("overwrite").json(f"{path}/validation")
-    docs.select("doc_id", "meta", "rows", "validation", "llm").write.mode("overwrite").json(f"{path}/json")
-
-
-def ocr_payloads(words: DataFrame) -> DataFrame:
-    """OCR results as they are written: one row for each document."""
-    word = F.struct("pos", "text", F.array("x1", "y1", "x2", "y2").alias("bbox"), "page_num", "block_num", "line_num", "word_num")
-    return words.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(word)), lambda w: w.dropFields("pos")).alias("words"), F.count("*").alias("word_count"))
+    """The vision path's four outputs: raw, parsed, validation, json. The plan runs once."""
+    docs = docs.persist()
+    try:
+        docs.select("doc_id", "raw_text").write.mode("overwrite").json(f"{path}/raw")
+        docs.select("doc_id", F.to_json("parsed").alias("parsed"), "parse_error").write.mode("overwrite").json(f"{path}/parsed")
+        docs.select("doc_id", "validation", "llm").write.mode("overwrite").json(f"{path}/validation")
+        docs.select("doc_id", "meta", "rows", "validation", "llm").write.mode("overwrite").json(f"{path}/json")
+    finally:
+        docs.unpersist()
+
+
+def write_split(docs: DataFrame, path: str) -> None:
+    """meta and items apart, as a run of the parser alone leaves them."""
+    docs = docs.persist()
+    try:
+        docs.select("doc_id", "meta.*").write.mode("overwrite").json(f"{path}/meta")
+        docs.select("doc_id", "rows").write.mode("overwrite").json(f"{path}/items")
+    finally:
+        docs.unpersist()
+
+
+def layout_payloads(docs: DataFrame) -> DataFrame:
+    """Layout results as they are written: one row for each document."""
+    token = lambda t: F.struct(t["text"].alias("text"), F.array(t["x1"], t["y1"], t["x2"], t["y2"]).alias("bbox"), t["box"].alias("bbox_layoutlm"), t["label"].alias("label"), t["score"].alias("score"))
+    return docs.select("doc_id", F.transform("tokens", token).alias("tokens"), "engine", "model_name")
+
+
+def block_payloads(blocks: DataFrame) -> DataFrame:
+    """Blocks as they are written: one row for each document."""
+    return blocks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("kind", "box", "confidence"))).alias("blocks"))
+
+
+def ocr_payloads(words: DataFrame, engines: DataFrame | None = None) -> DataFrame:
+    """OCR results as they are written: one row for each document; engines (doc_id, engine, engine_attempts) says whose they are."""
+    word = F.struct("pos", "text", F.array("x1", "y1", "x2", "y2").alias("bbox"), *(["confidence"] if "confidence" in words.columns else []), "page_num", "block_num", "line_num", "word_num")
+    docs = words.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(word)), lambda w: w.dropFields("pos")).alias("words"), F.count("*").alias("word_count")).withColumn("source", F.col("doc_id"))
+    return docs.join(engines.select("doc_id", "engine", "engine_attempts"), "doc_id", "left") if engines is not None else docs

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as S
 from ledgerlens.operators import backends, images, layout, rules, vlm as V
 from ledgerlens.plans import catalog, vlm
-from ledgerlens.sources import config
+from ledgerlens.sources import config, files
 
 D = datetime.date
 
@@ -91,13 +91,118 @@ def test_images(spark):
     assert got["bad"]["steps"][0]["warning"] == "not an image"
 
 
+def page(angle=0.0, h=300, w=400):
+    """Black bars on white, turned."""
+    a = np.full((h, w, 3), 255, np.uint8)
+    for y in range(40, 260, 20):
+        a[y : y + 6, 30:370] = (200, 30, 10)
+    return images.rotate(a, angle) if angle else a
+
+
+def test_skew_angles():
+    for angle in (-3.0, 2.0, 4.0):
+        gray = images.luma(page(angle))
+        found = images.candidate_angles(gray, 5.0)
+        assert len(found) == 3 and all(abs(abs(x) - abs(angle)) < 0.8 for x in found[1:])
+        straight, applied, _ = images.deskew(page(angle), 5.0, 1.0)
+        assert applied and abs(images.rectangle_angle(np.where(images.luma(straight) < 128, 0, 255).astype(np.uint8))) < 0.8
+    assert images.deskew(page(), 5.0, 1.0)[1] is False
+    assert images.hough_angle(np.full((50, 50), 255, np.uint8), 5.0) is None and images.rectangle_angle(np.full((50, 50), 255, np.uint8)) is None
+
+
+def test_cubic_sampling():
+    a = np.arange(64, dtype=np.uint8).reshape(8, 8) * 3
+    assert (images._resized(a, 8, 8) == a).all() and images._resized(a, 4, 2).shape == (2, 4)
+    ramp = np.tile(np.arange(0, 200, 2, dtype=np.uint8), (20, 1))
+    assert np.abs(images._resized(ramp, 50, 10)[:, 5:-5].astype(int) - np.arange(1, 200, 4)[5:-5]).max() <= 1
+    local, applied, _ = images.adaptive_binarization(page(), 35, 10, local=True)
+    assert applied and set(np.unique(local)) == {0, 255}
+
+
+def test_files_to_clean_files(spark, tmp_path):
+    """The source, the chain and the sink compose, and colours keep their order."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.b.png").write_bytes(images.png(page(), 300))
+    (tmp_path / "in/bad.png").write_bytes(b"no image")
+    found = {r["doc_id"].rsplit("/")[-1]: r for r in files.images(spark, str(tmp_path / "in")).collect()}
+    assert found["a.b.png"]["data"] == page().tobytes() and found["a.b.png"]["channels"] == 3 and found["bad.png"]["data"] is None
+    chain = (("grayscale", {}), ("crop_to_content", {"margin": 5}))
+    done = images.preprocess(files.images(spark, str(tmp_path / "in")), chain)
+    files.write_files(images.png_files(done, 150), str(tmp_path / "out"))
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["a.b__crop_to_content.png"]
+    again = files.images(spark, str(tmp_path / "out")).collect()[0]
+    assert (again["height"], again["width"], again["channels"]) == (216, 350, 1) and set(again["data"]) == {255, int(images.luma(page())[41, 40])}
+
+
+def test_recognise_and_annotate(spark, tmp_path):
+    table = "h\n1\t1\t1\t1\t1\t1\t5\t6\t10\t20\t91.5\tINVOICE\n1\t1\t1\t1\t1\t2\tx\t6\t10\t20\t9\tbad\n1\t1\t1\t1\t1\t3\t5\t6\t1\t2\t-1\t \n"
+    scans = spark.createDataFrame([("a", bytearray(b"1")), ("b", None)], "doc_id string, content binary")
+    got = layout.recognise(scans, lambda content: table).collect()
+    assert [(r["doc_id"], r["text"], r["x1"], r["y1"], r["x2"], r["y2"], r["confidence"]) for r in got] == [("a", "INVOICE", 5, 6, 15, 26, 91.5)]
+    assert layout.recognise(scans).count() == 0
+    with pytest.raises(RuntimeError):
+        layout.tesseract(command="no-such-program")(b"")
+    words = layout.recognise(scans, lambda content: table)
+    payload = files.ocr_payloads(words).collect()[0]
+    assert payload["word_count"] == 1 and payload["words"][0]["confidence"] == 91.5 and payload["source"] == "a"
+
+    def broken():
+        raise OSError("no weights")
+
+    label = lambda: lambda texts, boxes: [[("header", 0.9)] * len(t) for t in texts]
+    seen = spark.createDataFrame([("a", bytearray(b"1"))], "doc_id string, data binary")
+    assert layout.annotate(words, "huggingface", broken).first()["engine"] == "stub"
+    labelled = layout.annotate(words, "huggingface", label, "m", seen)
+    assert [(t["label"], t["score"]) for t in labelled.first()["tokens"]] == [("header", 0.9)] and layout.annotate(words, "huggingface", label, "m", seen.limit(0)).count() == 0
+    assert files.layout_payloads(labelled).first()["tokens"][0]["bbox"] == [5, 6, 15, 26] and len(files.block_payloads(layout.heuristic_blocks(words)).first()["blocks"]) == 3
+
+
+def test_models_are_plugged_in(spark, tmp_path):
+    scans = spark.createDataFrame([("a", bytearray(b"xy")), ("b", None)], "doc_id string, content binary")
+    got = {r["doc_id"]: r["raw_text"] for r in backends.read_images(scans, lambda contents, prompt: [f"{len(c)}{prompt}" for c in contents], " p ").collect()}
+    assert got == {"a": "2p", "b": None}
+    stored = spark.createDataFrame([("a", "{}")], "doc_id string, raw_text string")
+    assert {r["doc_id"]: r["raw_text"] for r in backends.read_images(scans, stored=stored).collect()} == {"a": "{}", "b": None}
+    prompts = spark.createDataFrame([(1, "say")], "doc_id int, prompt string")
+    load = lambda model, quant: lambda texts, most, heat: [f"{t}{model} {quant} {most} {heat}" for t in texts]
+    out = {r["model"]: r["output"] for r in backends.sweep(prompts, load=load).collect()}
+    assert len(out) == len(backends.MODELS) and out["qwen2-7b"] == "Qwen/Qwen2-7B-Instruct 4bit 512 0.2"
+    (tmp_path / "models--a--b/snapshots/1").mkdir(parents=True)
+    assert backends.local_model("a/b", str(tmp_path)).endswith("snapshots/1") and backends.local_model("c/d", str(tmp_path)) == "c/d"
+    with pytest.raises(FileNotFoundError):
+        backends.local_model("c/d", str(tmp_path), offline=True)
+
+
+def test_commands(spark, tmp_path, monkeypatch):
+    from ledgerlens import cli
+
+    monkeypatch.setattr(cli, "get_spark", lambda name: spark)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.png").write_bytes(images.png(page()))
+    (tmp_path / "payload.json").write_text(json.dumps({"meta": {"seller_name": "0", "total_net": 0}, "rows": []}))
+    cli.main(["ocr", str(tmp_path / "in"), str(tmp_path / "ocr"), "--engine", "stub"])
+    cli.main(["read", str(tmp_path / "in"), str(tmp_path / "raw")])
+    cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "clean")])
+    cli.main(["validate", str(tmp_path / "payload.json"), str(tmp_path / "done")])
+    cli.main(["bench", str(tmp_path / "payload.json"), str(tmp_path / "bench")])
+    cli.main(["models"])
+    errors = spark.read.json(str(tmp_path / "done")).select("validation.errors").first()[0]
+    assert "Missing required field: seller_name" not in errors and "Missing required field: total_net" in errors
+    assert spark.read.json(str(tmp_path / "bench")).count() == len(backends.MODELS) and len(list((tmp_path / "clean").iterdir())) == 1
+
+
+def test_zero_in_text_is_present(spark):
+    r = run_vlm(spark, json.dumps({"invoice": {"number": "0", "id": "7"}}), json.dumps({"invoice": {"number": 0, "id": "7"}}))
+    assert r[0]["meta"]["invoice_number"] == "0" and r[1]["meta"]["invoice_number"] == "7"
+
+
 def test_settings():
     assert config.mappings("a:\n  b: true\n  c: 'x'\nd: null\n") == {"a": {"b": True, "c": "x"}, "d": None}
     with pytest.raises(KeyError):
         backends.model_id("nope")
 
 
-@pytest.mark.parametrize("name", ["classic_documents", "rules_amounts", "scalar_rules", "page_blocks"])
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_catalog(spark, name):
     import duckdb
 
