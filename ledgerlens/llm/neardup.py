@@ -12,8 +12,8 @@ they are verified and never become rows. With the defaults a pair of similarity
 3e-6 and is pruned with probability below 1e-5.
 
 Defined results: null, empty or blank texts have no shingle: a class of their own, no links. Rows with a null doc_id are
-returned with a null class and no links. Repeated rows are copies of each other and are each returned. Other columns are
-ignored. Long texts count with all their shingles. Ties: the least doc_id names a class.
+returned with a null class and no links. Repeated rows are copies of each other and are each returned; rows of one
+doc_id with different texts count as the different texts they are. Other columns are ignored. Long texts count with all their shingles. Ties: the least doc_id names a class.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import WORD, Scratch, ascii_lower, groups, partitions
-from ledgerlens.llm.components import components
+from ledgerlens.llm.components import attach, components
 
 _WORD = re.compile(WORD)
 BANDS, ROWS, STEP = 32, 5, 16
@@ -74,6 +74,11 @@ def shingles(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
     return out
 
 
+def set_key(found: np.ndarray) -> bytes:
+    """What tells a set of shingles from any other: two sums of hashes, and its size."""
+    return np.array([_mix(found).sum(dtype=np.uint64), _mix(found ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64), len(found)], dtype="<u8").tobytes()
+
+
 def signature(found: np.ndarray) -> np.ndarray:
     """MinHash values of a set of shingles."""
     x, least = (found >> np.uint64(32)).astype(np.uint32), np.full(len(_A), 0xFFFFFFFF, dtype=np.uint32)
@@ -174,8 +179,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     h = salt.copy()
                     for r in range(ROWS):
                         h = _mix(h + np.uint64(0x9E3779B97F4A7C15)) ^ values[r::ROWS].astype(np.uint64)
-                    key = np.array([_mix(s).sum(dtype=np.uint64), _mix(s ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64), len(s)], dtype="<u8").tobytes()
-                    rows.append((len(s), key, values.astype(np.uint8).tobytes(), _mix(h).astype(np.int64)))
+                    rows.append((len(s), set_key(s), values.astype(np.uint8).tobytes(), _mix(h).astype(np.int64)))
                 size, key, sig, bands = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "size", "set_key", "signature", "bands"])
 
@@ -183,19 +187,19 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def _block_pairs(rows: DataFrame, group: str, order: str, block: int) -> DataFrame:
-    """rows with a key for each pair of blocks of their group, and their block; groups of one row are left out."""
-    w = Window.partitionBy(group)
-    rows = rows.withColumn("n_", F.count("*").over(w)).withColumn("block", F.floor((F.row_number().over(w.orderBy(order)) - 1) / block).cast("int")).filter("n_ > 1")
-    other = F.explode(F.sequence(F.lit(0), F.floor((F.col("n_") - 1) / block).cast("int")))
-    pair = rows.withColumn("other", other)
+    """rows with a key for each pair of blocks of their group, and their block, dealt by hash into blocks of about `block`
+    rows; groups of one row are left out. No task sees a whole group."""
+    rows = attach(rows, group, order, n_=(F.lit(1), "sum")).filter("n_ > 1")
+    count = F.ceil(F.col("n_") / block).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(block), order), count).cast("int"))
+    pair = rows.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
     return pair.withColumn("key", F.concat_ws(":", F.col(group).cast("string"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string"))).drop("n_", "other")
 
 
 def surviving(reps: DataFrame, least: list[tuple[int, int]], block: int = 8192) -> DataFrame:
     """Edges (a, b) that connect what surviving pairs of any bucket connect; reps: rep, signature, bands."""
-    w = Window.partitionBy("band")
     hits = reps.select("rep", F.explode("bands").alias("band"))
-    hits = hits.withColumn("n", F.count("*").over(w)).filter("n > 1").withColumn("members", F.bit_xor(F.xxhash64("rep")).over(w))
+    hits = attach(hits, "band", "rep", n=(F.lit(1), "sum"), members=(F.xxhash64("rep"), "bit_xor")).filter("n > 1")
     # bands whose buckets hold the same documents are one bucket
     bucket = hits.select("rep", F.concat_ws("-", F.col("members").cast("string"), F.col("n").cast("string")).alias("bucket")).dropDuplicates(["bucket", "rep"])
     rows = _block_pairs(bucket, "bucket", "rep", block).select("key", "rep").join(reps.select("rep", "signature"), "rep")
@@ -218,16 +222,18 @@ def surviving(reps: DataFrame, least: list[tuple[int, int]], block: int = 8192)
 def verify(docs: DataFrame, clusters: DataFrame, threshold: float, block: int = 3072) -> DataFrame:
     """rep, documents and texts linked, and a representative to which it is connected, for each pair of blocks of a cluster.
 
-    clusters: rep, component, copies.
+    clusters: rep, component, copies, and the least doc_id and set key of the texts that rep stands for.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(clusters, "rep").dropDuplicates(["rep"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("least"), F.col("text").cast("string").alias("text")).join(clusters, "least")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([s.tobytes() for s in shingles(batch.column(3).to_pylist())], pa.binary())], names=["rep", "component", "copies", "shingles"])
+                sets = shingles(batch.column(4).to_pylist())
+                own = pa.array([set_key(s) == key for s, key in zip(sets, batch.column(3).to_pylist(), strict=True)], pa.bool_())  # a doc_id may have other texts
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "component", "copies", "shingles"]).filter(own)
 
-    sets = texts.select("rep", "component", "copies", "text").mapInArrow(cut, "rep long, component long, copies long, shingles binary")
+    sets = texts.select("rep", "component", "copies", "set_key", "text").mapInArrow(cut, "rep long, component long, copies long, shingles binary").dropDuplicates(["rep"])
     rows = _block_pairs(sets, "component", "rep", block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,14 +276,17 @@ def join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> Da
     reach the threshold, copies included) and n_linked_texts (different texts among them), for every row of docs."""
     sketches = Scratch(sketch(docs), "sketches").read()
     known = sketches.filter("doc_id is not null and size > 0")
-    reps = Scratch(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "reps").read()
+    # a set's number is its own, whatever ids its documents have; once written it stays
+    reps = known.groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+    reps = Scratch(reps.withColumn("rep", F.monotonically_increasing_id()), "reps").read()
     near = components(surviving(reps, minima(threshold, tolerance)))
-    clusters = near.withColumnRenamed("node", "rep").join(reps.select("rep", "copies"), "rep")
+    clusters = near.withColumnRenamed("node", "rep").join(reps.select("rep", "copies", "least", "set_key"), "rep")
     verified = Scratch(verify(docs, clusters, threshold), "verified").read()
     classes = components(verified.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counted = verified.groupBy("rep").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts"))
-    facts = reps.select("set_key", "rep", "copies").join(counted, "rep", "left").join(classes, F.col("rep") == F.col("node"), "left")
-    facts = facts.select("set_key", F.col("rep").alias("copy_of"), F.coalesce("component", "rep").alias("class_id"), F.col("copies").alias("n_copies"), (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"))
+    named = attach(classes.join(reps.select(F.col("rep").alias("node"), "least"), "node"), "component", "node", class_id=(F.col("least"), "min")).select("node", "class_id")
+    facts = reps.select("set_key", "rep", "least", "copies").join(counted, "rep", "left").join(named, F.col("rep") == F.col("node"), "left")
+    facts = facts.select("set_key", F.col("least").alias("copy_of"), F.coalesce("class_id", "least").alias("class_id"), F.col("copies").alias("n_copies"), (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"))
     rows = sketches.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     none = rows.filter("set_key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts"))
     return rows.filter("set_key is not null").join(facts, "set_key").select(*none.columns).unionByName(none)
