@@ -73,6 +73,9 @@ def test_layout(spark):
     assert boxes[1, 0] == [50, 66, 550, 200]
     found = {r["kind"]: r["box"] for r in layout.heuristic_blocks(words.filter("doc_id = 2")).collect()}
     assert found == {"header": [0, 0, 1000, 220], "table": [0, 220, 1000, 820], "totals": [0, 820, 1000, 1000]}
+    inside = {(r["doc_id"], r["kind"]): r["count"] for r in layout.words_in_blocks(words, layout.heuristic_blocks(words)).groupBy("doc_id", "kind").count().collect()}
+    counted = {(r["doc_id"], r["kind"], tuple(r["box"])): r["n_words"] for r in layout.blocks_with_counts(words).collect()}
+    assert counted == {(r["doc_id"], r["kind"], tuple(r["box"])): inside.get((r["doc_id"], r["kind"]), 0) for r in layout.heuristic_blocks(words).collect()}
     assert layout.engine_order("auto") == ("tesseract", "paddle") and layout.engine_order("nope") == ("stub",)
     with pytest.raises(RuntimeError):
         layout.engine_order("nope", stub=False)
