@@ -8,6 +8,8 @@ are not.
 
 Classes and ids bar by whole tokens whose parts all say so (site-footer, but not no-sidebar or entry-header). They don't
 bar what they can't mean: what encloses an article, or most of the good text where there is a word for layout only.
+A page without an article in whose long blocks the known stop words are too rare is in another language; there
+length and link density decide alone.
 
 Defined results: null or empty html: empty text. Pages without a text block: empty text. Cut-off markup is read as
 far as it goes. Character references are decoded and white space in a block becomes one space; nothing is capped.
@@ -44,7 +46,7 @@ MARKS = re.compile(rf"(?<!\S)(?:(?:{_PLACES})[-_]+)*(?:{_OTHERS}|{_LAYOUT})(?:[-
 OTHERS = re.compile(rf"(?<![a-z])(?:{_OTHERS})(?![a-z])", re.I)  # what isn't the author's, against mere layout
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
+_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in ("script", "style", "textarea", "template", "svg", "math", "title")}
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -184,7 +186,8 @@ def _appeal(found: list[Block], around: dict[int, tuple[tuple[int, bool], ...]])
     """found with blocks barred by the marks that stand."""
     if not any(b.marks for b in found):
         return found
-    good = [0 if b.barred or _alone(b) != GOOD else len(b.text) for b in found]
+    neutral = foreign(found)
+    good = [0 if b.barred or _alone(b, neutral=neutral) != GOOD else len(b.text) for b in found]
     by_section: dict[int, int] = {}
     for b, n in zip(found, good, strict=True):
         by_section[b.section] = by_section.get(b.section, 0) + n
@@ -203,24 +206,41 @@ def _appeal(found: list[Block], around: dict[int, tuple[tuple[int, bool], ...]])
     return found
 
 
-def _alone(b: Block, short: int = 70, stop_low: float = 0.12, stop_high: float = 0.25, max_link: float = 0.5) -> int:
-    """A block's label by itself, the first pass."""
+def _density(text: str) -> tuple[int, int]:
+    """(stop words, words) of a text."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def foreign(found: list[Block], short: int = 70, stop_low: float = 0.12, max_link: float = 0.5) -> bool:
+    """Is a page in a language whose stop words aren't known?"""
+    if any(b.section for b in found):
+        return False
+    counts = [_density(b.text) for b in found if not b.barred and len(b.text) >= short and b.linked <= max_link * len(b.text)]
+    return bool(counts) and sum(s for s, _ in counts) < stop_low * sum(n for _, n in counts)
+
+
+def _alone(b: Block, short: int = 70, stop_low: float = 0.12, stop_high: float = 0.25, max_link: float = 0.5, neutral: bool = False) -> int:
+    """A block's label by itself, the first pass; neutral: whatever its words."""
     if b.barred:
         return BAD
     if b.linked > max_link * len(b.text):
         return UNSURE if b.section else BAD
     if len(b.text) < short:
         return UNSURE
-    words = _WORD.findall(b.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    if neutral:
+        return GOOD
+    stops, words = _density(b.text)
+    density = stops / max(words, 1)
     if density >= stop_high or b.section and density >= stop_low:
         return GOOD
-    return BAD if density < stop_low and not b.section and len(words) >= 5 else UNSURE
+    return BAD if density < stop_low and not b.section and words >= 5 else UNSURE
 
 
 def classify(found: list[Block], short: int = 70, stop_low: float = 0.12, stop_high: float = 0.25, max_link: float = 0.5) -> list[bool]:
     """True for the article's blocks: pass 1 by the block alone, pass 2 by its neighbours."""
-    first = [_alone(b, short, stop_low, stop_high, max_link) for b in found]
+    neutral = foreign(found, short, stop_low, max_link)
+    first = [_alone(b, short, stop_low, stop_high, max_link, neutral) for b in found]
     out = []
     before, after = _nearest(found, first), _nearest(found[::-1], first[::-1])[::-1]
     for b, label, prev, nxt in zip(found, first, before, after, strict=True):
