@@ -23,9 +23,12 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, a local one serves a local session; a
+    cluster without it is an error, as its executors would not see each other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='ledgerlens-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -47,15 +50,21 @@ def _clean() -> None:
             pass
 
 
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder, deleted at exit."""
+    path = f"{shared_dir(spark)}/ledgerlens/{what}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 class Scratch:
     """A written table in the shared folder: cuts lineage, survives executors, and is dropped at exit or by drop()."""
 
     def __init__(self, df: DataFrame, what: str):
         self.spark = df.sparkSession
-        self.path = f"{shared_dir(self.spark)}/ledgerlens/{what}-{uuid.uuid4().hex}"
+        self.path = scratch_path(self.spark, what)
         df.write.option("compression", "zstd").parquet(self.path)
         self.schema = df.schema
-        _written.append((self.spark, self.path))
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, ascii_lower
+from ledgerlens.llm.common import Scratch, ascii_lower, unused
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOUND = "n_words long, spans array<int>, items array<string>"
@@ -45,9 +45,9 @@ def blocks(benchmark: DataFrame, width: int, block_windows: int) -> Iterator[dic
     for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
         for w in windows(r["text"], width):
             held.setdefault(w, set()).add(r["item_id"] or "")
-        if len(held) >= block_windows:
-            yield held
-            held = {}
+            if len(held) >= block_windows:  # an item may go over several blocks
+                yield held
+                held = {}
     if held:
         yield held
 
@@ -100,10 +100,9 @@ def search(text_words: list[str], by_prefix: Index, prefixes: frozenset[str]) ->
     return [x for span in sorted(spans) for x in span], items
 
 
-def mark(docs: DataFrame, by_prefix: Index) -> DataFrame:
-    """docs with a struct column `leaks_` of FOUND, added to what an earlier block found."""
+def mark(docs: DataFrame, by_prefix: Index, name: str = "leaks_", again: bool = False) -> DataFrame:
+    """docs and, last, a struct column of FOUND; again: added to what an earlier block found, which is there already."""
     shared = docs.sparkSession.sparkContext.broadcast(by_prefix)
-    again = "leaks_" in docs.columns
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +110,7 @@ def mark(docs: DataFrame, by_prefix: Index) -> DataFrame:
         prefixes = frozenset(by_prefix)
         for batch in batches:
             names = batch.schema.names
-            before = batch.column(names.index("leaks_")).to_pylist() if again else None
+            before = batch.column(names.index(name)).to_pylist() if again else None
             out = []
             for i, text in enumerate(batch.column(names.index("text")).to_pylist()):
                 w = words(text)
@@ -119,22 +118,23 @@ def mark(docs: DataFrame, by_prefix: Index) -> DataFrame:
                 if before:
                     spans, items = before[i]["spans"] + spans, items.union(before[i]["items"])
                 out.append({"n_words": len(w), "spans": spans, "items": sorted(items)})
-            rest = [(n, c) for n, c in zip(names, batch.columns, strict=True) if n != "leaks_"]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), pa.array(out, kind)], names=[*(n for n, _ in rest), "leaks_"])
+            rest = [(n, c) for n, c in zip(names, batch.columns, strict=True) if not (again and n == name)]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), pa.array(out, kind)], names=[*(n for n, _ in rest), name])
 
     fields = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in FOUND.split(", "))
-    plain = docs.drop("leaks_")
-    return docs.select(*plain.columns, *(["leaks_"] if again else [])).mapInArrow(run, plain.select("*", F.lit(None).cast(f"struct<{fields}>").alias("leaks_")).schema)
+    plain = docs.drop(name) if again else docs
+    return docs.mapInArrow(run, plain.select("*", F.lit(None).cast(f"struct<{fields}>").alias(name)).schema)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_windows: int = 200_000) -> DataFrame:
-    """docs (with a column text) and the struct column `leaks_`: n_words, spans of hit windows, items."""
-    out, n = docs, 0
+    """docs (with a column text) and, last, the struct column `leaks_` (with further underscores if that is taken): n_words,
+    spans of hit windows, items."""
+    out, n, name = docs, 0, unused(docs.columns, "leaks_")
     for n, block in enumerate(blocks(benchmark, width, block_windows), 1):
         if n > 1:
             out = Scratch(out, "leaks").read()
-        out = mark(out, index(block, frequencies(docs, {x for w in block for x in w})))
-    return out if n else mark(out, {})
+        out = mark(out, index(block, frequencies(docs, {x for w in block for x in w})), name, n > 1)
+    return out if n else mark(out, {}, name)
 
 
 def op7(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -163,7 +163,8 @@ def covered(spans: list[int]) -> int:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark window, with all their columns."""
-    return find(docs, benchmark).filter(F.size("leaks_.items") == 0).select(*docs.columns)
+    found = find(docs, benchmark)
+    return found.filter(F.size(F.col(found.columns[-1])["items"]) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 SQL = r"""

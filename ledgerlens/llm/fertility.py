@@ -6,9 +6,14 @@ the share of byte-fallback tokens and the token entropy (a SentencePiece BPE), t
 rejection bands around its own median, in units of its median absolute deviation, from all its documents that pass the base
 rules. Junk shortens tokens and repeats them at once, so the first band is on the sum of both deviations.
 
+Counts are the vocabularies' own on the whole text: words between single spaces are remembered, as both vocabularies always
+cut there, and texts with other spacing go through the libraries whole. Medians are of values rounded to five places, so
+they don't depend on how rows are dealt.
+
 Defined results: null, empty or blank texts have no words: base_failed, not kept. A language with fewer than
 `min_group` documents uses the bands of all documents. Repeated rows count as often as they occur. Long texts are
-measured whole. Columns of the input keep their place; names that clash don't matter, as results come as one struct.
+measured whole. Columns of the input keep their place; the results' columns come last, under names that get further
+underscores if they are taken.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD, Scratch
+from ledgerlens.llm.common import WORD, Scratch, unused
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, band_group string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
 #: Fixed values of the base rules.
@@ -78,12 +83,26 @@ class Vocabularies:
         for chunk, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True):
             self.known[chunk] = (array("H", ids).tobytes(), len(self.bpe.encode_ordinary(" " + chunk)))
 
-    def tokens(self, chunks: list[str]) -> tuple[np.ndarray, int]:
-        """SentencePiece ids and the number of BPE tokens of chunks that are known."""
-        if not chunks:
+    def tokens(self, text: str, chunks: list[str] | None) -> tuple[np.ndarray, int]:
+        """SentencePiece ids and the number of BPE tokens of a text, by its chunks, which are known, if it may be cut at spaces."""
+        if not text:
             return np.empty(0, "<u2"), 0
+        if chunks is None:
+            return np.array(self.sp.encode(text), dtype="<u2"), len(self.bpe.encode_ordinary(text))
         ids, counts = zip(*map(self.known.__getitem__, chunks), strict=True)
-        return np.frombuffer(b"".join(ids), dtype="<u2"), sum(counts)
+        # the first word has no space before it
+        return np.frombuffer(b"".join(ids), dtype="<u2"), sum(counts) - counts[0] + len(self.bpe.encode_ordinary(chunks[0]))
+
+
+_RUNS = re.compile(r"\s\s+|\A\s|\s\Z")
+
+
+def chunks_of(text: str) -> list[str] | None:
+    """A text's words between single spaces; None if white space other than line ends comes in runs, first or last, or the
+    text holds the mark that SentencePiece writes for a space."""
+    if "\u2581" in text or any(run.strip("\n") for run in _RUNS.findall(text)) or text[:1] == "\n" or text[-1:] == "\n":
+        return None
+    return text.split(" ")
 
 
 _vocabularies: dict[tuple[str | None, str | None], Vocabularies] = {}
@@ -154,8 +173,8 @@ def base(text: str | None) -> tuple[int, int, int, int, int, bool]:
 
 
 def measure(docs: DataFrame, window: int = 128, piece_path: str | None = None, bpe_path: str | None = None) -> DataFrame:
-    """docs with a struct column `fertility_` of MEASURES, from columns text and, if present, lang."""
-    has_lang = "lang" in docs.columns
+    """docs and, last, a struct column of MEASURES, from columns text and, if present, lang."""
+    has_lang, added = "lang" in docs.columns, unused(docs.columns, "fertility_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = vocabularies(piece_path, bpe_path)
@@ -163,45 +182,55 @@ def measure(docs: DataFrame, window: int = 128, piece_path: str | None = None, b
             names = batch.schema.names
             texts = batch.column(names.index("text")).to_pylist()
             langs = batch.column(names.index("lang")).to_pylist() if has_lang else [None] * len(texts)
-            chunks = [t.split(" ") if t else [] for t in texts]
-            tokens.learn(set().union(*chunks))
+            chunks = [chunks_of(t) if t else [] for t in texts]
+            tokens.learn(set().union(*(c for c in chunks if c)))
             rows = []
             for text, lang, parts in zip(texts, langs, chunks, strict=True):
-                ids, n = tokens.tokens(parts)
+                ids, n = tokens.tokens(text or "", parts)
                 rows.append((*base(text), lang if lang is not None else script(text or ""), n, len(text) / n if n else 0.0, float(tokens.is_byte[ids].mean()) if len(ids) else 0.0, entropy(ids, window)))
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _NAMES]
             struct = pa.StructArray.from_arrays([pa.array(c, type=k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*names, "fertility_"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*names, added])
 
     fields = ", ".join(f"{a.split()[0]}: {a.split()[1]}" for a in MEASURES.split(", "))
-    schema = docs.select("*", F.lit(None).cast(f"struct<{fields}>").alias("fertility_")).schema
+    schema = docs.select("*", F.lit(None).cast(f"struct<{fields}>").alias(added)).schema
     return docs.mapInArrow(run, schema)
 
 
+METRICS = ("chars_per_token", "byte_share", "token_entropy")
+
+
+def _medians(rows: DataFrame, name: str) -> DataFrame:
+    """band_group, n and the median of each metric, `name` before it, counted by rounded value first, so that a group's
+    values never meet in one task."""
+    values = rows.select("band_group", F.explode(F.array(*(F.struct(F.lit(m).alias("m"), F.round(m, 5).alias("v")) for m in METRICS))).alias("x"))
+    bins = values.groupBy("band_group", "x.m", "x.v").agg(F.count("*").alias("k"))
+    return bins.groupBy("band_group").agg(*(F.percentile(F.when(F.col("m") == m, F.col("v")), 0.5, F.col("k")).alias(f"{name}_{m}") for m in METRICS), F.sum(F.when(F.col("m") == METRICS[0], F.col("k"))).alias(f"n_{name}"))
+
+
 def verdicts(measured: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """measured (of a written table) with a boolean column `kept_`."""
-    f = F.col("fertility_")
-    metrics = ("chars_per_token", "byte_share", "token_entropy")
-    good = measured.filter(~f["base_failed"]).select(f["band_group"].alias("band_group"), *(f[m].alias(m) for m in metrics))
-    middle = lambda rows, *by: rows.groupBy(*by).agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in metrics), F.count("*").alias("n"))
+    """measured (of a written table; its last column holds MEASURES) and, last, a boolean column: is the row kept?"""
+    f = F.col(f"`{measured.columns[-1]}`")
+    good = measured.filter(~f["base_failed"]).select(f["band_group"].alias("band_group"), *(f[m].alias(m) for m in METRICS))
     both = good.unionByName(good.withColumn("band_group", F.lit(None).cast("string")))  # null: all documents
-    mids = middle(both, "band_group")
-    near = mids.drop("n").withColumnRenamed("band_group", "g")
-    off = both.join(near, F.col("band_group").eqNullSafe(F.col("g"))).select("band_group", *(F.abs(F.col(m) - F.col(f"mid_{m}")).alias(m) for m in metrics))
-    spread = off.groupBy("band_group").agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mad_{m}") for m in metrics))
-    stats = mids.join(spread.withColumnRenamed("band_group", "g"), F.col("band_group").eqNullSafe(F.col("g"))).drop("g")
+    mids = _medians(both, "mid")
+    near = F.broadcast(mids.withColumnRenamed("band_group", "g"))  # a row for each language
+    off = both.join(near, F.col("band_group").eqNullSafe(F.col("g"))).select("band_group", *(F.abs(F.col(m) - F.col(f"mid_{m}")).alias(m) for m in METRICS))
+    stats = mids.join(_medians(off, "mad").withColumnRenamed("band_group", "g"), F.col("band_group").eqNullSafe(F.col("g"))).drop("g")
     found = stats.filter("band_group is null").first()
     whole = found.asDict() if found else {}
-    own = stats.filter(F.col("band_group").isNotNull() & (F.col("n") >= bands.min_group)).drop("n").withColumnRenamed("band_group", "group_")
-    joined = measured.withColumn("group_key_", f["band_group"]).join(own, F.col("group_key_") == F.col("group_"), "left")  # a row for each language
+    key, group, stat, kept = (unused(measured.columns, x) for x in ("group_key_", "group_", "bands_", "kept_"))
+    limits = F.struct(*(F.col(f"{x}_{m}") for x in ("mid", "mad") for m in METRICS)).alias(stat)
+    own = stats.filter(F.col("band_group").isNotNull() & (F.col("n_mid") >= bands.min_group)).select(F.col("band_group").alias(group), limits)
+    joined = measured.withColumn(key, f["band_group"]).join(F.broadcast(own), F.col(key) == F.col(group), "left")
 
     def z(m: str):
-        mid, mad = (F.coalesce(F.col(f"{x}_{m}"), F.lit(whole.get(f"{x}_{m}")).cast("double")) for x in ("mid", "mad"))
-        return F.coalesce((F.col("fertility_")[m] - mid) / F.greatest(mad * 1.4826, F.abs(mid) * 0.005, F.lit(1e-4)), F.lit(0.0))
+        mid, mad = (F.coalesce(F.col(stat)[f"{x}_{m}"], F.lit(whole.get(f"{x}_{m}")).cast("double")) for x in ("mid", "mad"))
+        return F.coalesce((f[m] - mid) / F.greatest(mad * 1.4826, F.abs(mid) * 0.005, F.lit(1e-4)), F.lit(0.0))
 
-    chars, share, bits = (z(m) for m in metrics)
+    chars, share, bits = (z(m) for m in METRICS)
     inside = (chars + bits >= bands.joint) & (bits >= bands.entropy) & chars.between(bands.chars_low, bands.chars_high) & (share <= bands.byte_share)
-    return joined.withColumn("kept_", ~F.col("fertility_")["base_failed"] & inside).select(*measured.columns, "kept_")
+    return joined.withColumn(kept, ~f["base_failed"] & inside).select(*(F.col(f"`{c}`") for c in measured.columns), kept)
 
 
 def op2(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
@@ -214,4 +243,5 @@ def op2(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 def keep(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    return verdicts(Scratch(measure(docs), "fertility").read(), bands).filter("kept_").select(*docs.columns)
+    done = verdicts(Scratch(measure(docs), "fertility").read(), bands)
+    return done.filter(F.col(done.columns[-1])).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -9,7 +9,7 @@ Smoothing is Witten-Bell of strength s: P(w|h) = (c(h,w) + s T(h) P(w)) / (c(h)
 different words after h and P(w) = (c(w) + 1) / (N + V + 1), the contract's base. A document's first history is a start mark.
 
 Memory: words (10 bytes each, and 12 for each number over 254) and the filter (about 12 bits a pair) are broadcast in blocks of at most
-`block_mb`. What fits in one block is scored in one pass; beyond it documents pass once for each block, with each token's
+`block_mb`, a copy for each Python worker; the driver holds one block at a time and sees each word once. What fits in one block is scored in one pass; beyond it documents pass once for each block, with each token's
 word counts written in between, and pairs are dealt to blocks by history so that each pass scores its own tokens.
 
 Defined results: null text: empty, one end token. Null doc_id: a training document. No training documents: N = V = 0 and
@@ -277,19 +277,30 @@ class Model:
     block_bytes: int
     buckets: int
 
-    def _rows(self, kind: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for r in fetch(self.counted.read().filter(F.col("kind") == kind).select("keys", "counts")):
-            yield np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], "<i8" if kind == WORDS else "<u4")
+    def _rows(self, kind: int, low: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Counts of a kind whose keys lie in a range; executors leave the others out."""
+        code = "<i8" if kind == WORDS else "<u4"
+
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    keys, counts = np.frombuffer(keys, "<u8"), np.frombuffer(counts, code)
+                    own = (keys >= np.uint64(low)) & (keys <= np.uint64(last))
+                    if own.any():
+                        yield pa.RecordBatch.from_arrays([pa.array([keys[own].tobytes()], pa.binary()), pa.array([counts[own].tobytes()], pa.binary())], names=["keys", "counts"])
+
+        for r in fetch(self.counted.read().filter(F.col("kind") == kind).select("keys", "counts").mapInArrow(within, "keys binary, counts binary")):
+            yield np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], code)
 
     def words(self) -> Iterator[Words]:
         """Blocks of words by ranges of their hash."""
         blocks = max(1, math.ceil(11 * self.distinct / self.block_bytes))
         edges = [(i << 64) // blocks for i in range(blocks + 1)]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
-            parts = [(k[m], c[m]) for k, c in self._rows(WORDS) for m in [(k >= np.uint64(low)) & (k <= np.uint64(high - 1))]]
+            parts = list(self._rows(WORDS, low, high - 1))
             keys, counts = sums(np.concatenate([np.empty(0, np.uint64), *(k for k, _ in parts)]), np.concatenate([np.empty(0, np.int64), *(c for _, c in parts)]))
             follow = np.zeros(len(keys), np.uint32)
-            for k, c in self._rows(NEXT):  # by the high half of a history's hash
+            for k, c in self._rows(NEXT, low >> 32, (high - 1) >> 32):  # by the high half of a history's hash
                 order = np.argsort(k)
                 at = np.minimum(np.searchsorted(k[order], keys >> np.uint64(32)), len(k) - 1)
                 follow += np.where(k[order][at] == keys >> np.uint64(32), c[order][at], 0).astype(np.uint32)

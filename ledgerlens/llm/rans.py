@@ -16,7 +16,6 @@ their texts. Empty table: no blocks. A document longer than a block has a block
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions, shared_dir, slices
+from ledgerlens.llm.common import Scratch, partitions, scratch_path, slices
 
 BITS = 18  # the frequencies of a table sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states are at least LOW and below LOW << 32
@@ -366,6 +365,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op1(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Write all documents' ids to the shared folder, and read them back."""
+    """Write all documents' ids to the shared folder, and read them back; the files go at exit."""
     spark = docs.sparkSession
-    return read(spark, write(docs, f"{shared_dir(spark)}/ledgerlens/rans-{uuid.uuid4().hex}", tokenizer_path))
+    return read(spark, write(docs, scratch_path(spark, "rans"), tokenizer_path))
