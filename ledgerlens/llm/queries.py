@@ -53,7 +53,7 @@ def op9_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.op10(_read(spark, sf_dir, "documents"))
+    return pii.op10(_read(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 QUERIES = {
