@@ -136,6 +136,17 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task holds none of the last one's."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def unused(taken: list[str], name: str) -> str:
     """name, with as many more underscores as it takes to differ from all of taken."""
     lower = {t.lower() for t in taken}

@@ -33,7 +33,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions, settings, slices, unused
+from ledgerlens.llm.common import Scratch, partitions, settings, slices, trim, unused
 
 MARK = "▁"
 #: Words: marks and what follows them, a stretch without marks, or one line end or tab, which no piece may hold beside others.
@@ -271,7 +271,7 @@ def merge(word: str, model: Model) -> list[int]:
 
 
 def word_ids(words: DataFrame, model: Model) -> DataFrame:
-    """(id, word, ids) for different words (id, word)."""
+    """(id, word, ids) for different words (id, word); ids are null where a word has over FOLD characters: see long_ids."""
     # a word has some 20 edges, which are sorted: smaller partitions than those of words
     short = words.filter(F.length("word") <= FOLD).repartition(4 * partitions(words.sparkSession), "id")
     lattice = edges(short, model)
@@ -282,15 +282,15 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
     else:
         bounded = lattice.withColumn("bounds", _viterbi_fold(F.col("edges"), F.length("word"), orders(model)[1]))
     folded = bounded.select("id", "word", _ids(F.col("word"), F.col("edges"), F.col("bounds"), model).alias("ids"))
-    shared = words.sparkSession.sparkContext.broadcast(model)
+    return folded.unionByName(words.filter(F.length("word") > FOLD).select("id", "word", F.lit(None).cast("array<int>").alias("ids")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        cut = merge if model.kind == BPE else viterbi
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([cut(w, model) for w in batch.column(1).to_pylist()], pa.list_(pa.int32()))], names=["id", "word", "ids"])
 
-    return folded.unionByName(words.filter(F.length("word") > FOLD).select("id", "word").mapInArrow(run, "id long, word string, ids array<int>"))
+def long_ids(ids: pa.ListArray, words: pa.Array, model: Model) -> pa.ListArray:
+    """ids with those of longer words, which come as null."""
+    if not ids.null_count:
+        return ids
+    cut = merge if model.kind == BPE else viterbi
+    return pa.array([cut(w, model) if x is None else x for x, w in zip(ids.to_pylist(), words.to_pylist(), strict=True)], pa.list_(pa.int32()))
 
 
 def viterbi(word: str, model: Model) -> list[int]:
@@ -338,7 +338,7 @@ class Cutter:
 def _pack(data: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=6).compress(data)
 
 
 def _unpack(data: bytes) -> bytes:
@@ -424,7 +424,7 @@ ANSWER = "bucket int, chunk long, words binary, ids binary"
 PART = "chunk long, kind int, a binary, b binary"
 
 
-def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bool = False) -> DataFrame:
     """docs (with a column text) and an array column `ids_`; with check also a column `round_trip_`: do the ids decode to the text?"""
     spark = docs.sparkSession
     n = partitions(spark)
@@ -459,6 +459,8 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
                     if len(held) > 3 and len(held[-1]) + sum(map(len, held[1:])) > len(held[0]):
                         held = [pc.unique(pa.concat_arrays(held))]
         yield from asks()
+        held.clear()
+        trim()
 
     asked = Scratch(rows.select(rows.columns[0], "text").mapInArrow(ask, ASK), "asks")
 
@@ -482,6 +484,8 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
                     held = [pc.unique(pa.concat_arrays(held))]
         if bucket is not None:
             yield from found()
+        held.clear()
+        trim()
 
     words = Scratch(asked.read().select("bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(different, "id long, word string"), "words").read()
 
@@ -495,11 +499,12 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
         bucket = table.column(0).to_numpy() >> 40
         order = np.argsort(bucket, kind="stable")
         words = pa.concat_arrays(table.column(1).chunks).take(pa.array(order))
-        lists = pa.concat_arrays(table.column(2).chunks)
+        lists = long_ids(pa.concat_arrays(table.column(2).chunks), pa.concat_arrays(table.column(1).chunks), shared.value)
         ids = Ids(lists.flatten().to_numpy(zero_copy_only=False).astype(KIND), pc.list_value_length(lists).to_numpy(zero_copy_only=False)).take(order)
         edges = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
         for a, b in zip(edges, edges[1:], strict=False):
             yield _rows(ANSWER, (int(bucket[order[a]]), None, _pack_words(words.slice(a, b - a)), ids.take(np.arange(a, b)).pack()))
+        trim()
 
     # a sort by number and one pass over it, where the hash aggregate would hold and write single edges as lists
     with settings(spark, {"spark.sql.execution.useObjectHashAggregateExec": "false"}):
@@ -519,18 +524,20 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
                 if words is None:
                     words, ids = pa.concat_arrays([w for w, _ in parts]), Ids.all([i for _, i in parts])
                 yield _rows(PART, (chunk, 0, packed, ids.take(pc.index_in(own, words).to_numpy(zero_copy_only=False)).pack()))
+        words, ids, parts = None, None, []
+        trim()
 
     answers = both.repartition(n, "bucket").sortWithinPartitions("bucket", F.col("ids").isNull()).mapInArrow(answer, PART)
 
     def pack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
         for batch in batches:
             for chunk, part in by_chunk(batch):
-                for piece in slices(part, at_text + 1, 1 << 21):
+                for piece in slices(part, at_text + 1, 1 << 22):
                     sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, piece.schema, options=options) as out:
+                    with pa.ipc.new_stream(sink, piece.schema) as out:
                         out.write_batch(piece)
-                    yield _rows(PART, (chunk, 1, sink.getvalue().to_pybytes(), None))
+                    yield _rows(PART, (chunk, 1, _pack(sink.getvalue()), None))
+        trim()
 
     packed = rows.mapInArrow(pack_docs, PART)
     ids_, trip_ = (unused(docs.columns, x) for x in ("ids_", "round_trip_"))
@@ -552,7 +559,7 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
                     continue
                 if words is None:
                     words, ids, parts = pa.concat_arrays([w for w, _ in parts]), Ids.all([i for _, i in parts]), []
-                for whole in pa.ipc.open_stream(a):
+                for whole in pa.ipc.open_stream(_unpack(a)):
                     cut = cutter(whole.column(at_text + 1))
                     own = cut.flatten().dictionary_encode()
                     codes = pc.index_in(own.dictionary, words).to_numpy(zero_copy_only=False).astype(np.int64)[own.indices.to_numpy()]
@@ -567,6 +574,8 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 16 << 20, check: bo
                         yield pa.RecordBatch.from_arrays([*piece.columns[1:], found, *more], names=names)
                         at += piece.num_rows
                 pa.default_memory_pool().release_unused()
+        words, ids, parts = None, None, []
+        trim()
 
     schema = docs.select("*", F.lit(None).cast("array<int>").alias(ids_), *([F.lit(True).alias(trip_)] if check else [])).schema
     return packed.unionByName(answers).repartition(n, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(put_together, schema)

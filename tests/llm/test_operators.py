@@ -246,7 +246,13 @@ def test_viterbi_fold(spark):
     r = random.Random(2)
     words = ["\u2581abc", "\u2581aabcbc", "\u2581\u00e9", "abcabc", *{"".join(r.choice("abc") for _ in range(r.randrange(1, 9))) for _ in range(40)}, "abc" * 30]
     got = {r["word"]: r["ids"] for r in lattice.word_ids(spark.createDataFrame(list(enumerate(dict.fromkeys(words))), "id long, word string"), model).collect()}
-    assert got == {w: brute_viterbi(w, model) if len(w) < 12 else lattice.viterbi(w, model) for w in words}
+    assert got == {w: brute_viterbi(w, model) if len(w) < 12 else None for w in words}
+    # whole texts of a unigram model, with a word that is too long for the fold
+    texts = ["abc ab\ncab", "abc" * 30 + " a", None, ""]
+    done = lattice.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, check=True).orderBy("doc_id").collect()
+    for r, t in zip(done, texts, strict=True):
+        words = re.findall(lattice.CUT, "\u2581" + t.replace(" ", "\u2581")) if t else []
+        assert r["ids_"] == [i for w in words for i in lattice.viterbi(w, model)] and r["round_trip_"]
 
 
 def brute_viterbi(word, model):
