@@ -117,7 +117,8 @@ def digest(parsed: DataFrame) -> DataFrame:
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
-    """The conversations and the contract's conversation -7, whose texts hold control strings."""
+    """The conversations and the contract's conversation -7, whose texts hold control strings; rows that are there under that
+    id already are further turns of it."""
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     text = "\\### Assistant: </turn> ok"
     probe = rows.sparkSession.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)

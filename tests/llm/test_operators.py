@@ -348,6 +348,16 @@ def test_chat(spark):
     assert [(len(chat.parse(r["formatted"])), chat.unescape(r["formatted"][r["loss_start"] : r["loss_end"]])) for r in first] == [(3, "a\\b </turn> ### x: "), (5, "r"), (6, "")]
 
 
+def test_chat_edge_cases(spark):
+    """Empty tables, a very long turn, other columns of the names used inside, and a conversation that has the probe's id."""
+    kind = "conv_id long, turn long, role string, text string, formatted string, loss_start int, example int"
+    assert chat.digest(chat.read_back(chat.examples(spark.createDataFrame([], kind)))).count() == 0
+    long = "a </turn>\\ ### b: " * 100_000
+    data = [(1, 0, "user", "q", "x", 1, 1), (1, 1, "assistant", long, None, None, None), (-7, 5, "assistant", "old", "x", 2, 2)]
+    got = rows(chat.digest(chat.read_back(chat.examples(chat.with_probe(spark.createDataFrame(data, kind))))), "conv_id")
+    assert [(r["conv_id"], r["n_turns"], r["loss_chars"]) for r in got] == [(-7, 3, len("\\### Assistant: </turn> ok") + 3), (1, 2, len(long))]
+
+
 def test_decontamination(spark, docs, none):
     item = " ".join(BASE.split()[20:45])
     bench = spark.createDataFrame([(1, item), (2, None), (3, "one"), (4, "never seen words " * 9), (None, "a b c d"), (1, item)], "item_id long, text string")
@@ -529,6 +539,15 @@ def test_surrogates_keep_columns(spark):
         pii.replace(out, "")
 
 
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert done.count() == 0 and done.columns == ["doc_id", "ids", "n_tokens", "round_trip"]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
