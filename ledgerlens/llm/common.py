@@ -136,6 +136,15 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are done: it does so once the driver's JVM has collected their
+    plans, by itself every half hour only."""
+    import gc
+
+    gc.collect()  # Python's references to them
+    spark.sparkContext._jvm.System.gc()
+
+
 def trim() -> None:
     """Give freed memory back to the system: a worker that waits for its next task holds none of the last one's."""
     import ctypes

@@ -33,7 +33,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions, settings, slices, trim, unused
+from ledgerlens.llm.common import Scratch, partitions, release, settings, slices, trim, unused
 
 MARK = "▁"
 #: Words: marks and what follows them, a stretch without marks, or one line end or tab, which no piece may hold beside others.
@@ -487,7 +487,7 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bo
         held.clear()
         trim()
 
-    words = Scratch(asked.read().select("bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(different, "id long, word string"), "words").read()
+    words = Scratch(asked.read().select("bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(different, "id long, word string"), "words")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [pa.Table.from_batches([b]) for b in batches]
@@ -508,7 +508,9 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bo
 
     # a sort by number and one pass over it, where the hash aggregate would hold and write single edges as lists
     with settings(spark, {"spark.sql.execution.useObjectHashAggregateExec": "false"}):
-        known = Scratch(word_ids(words, model).select("id", "word", "ids").mapInArrow(pack, ANSWER), "word-ids")
+        known = Scratch(word_ids(words.read(), model).select("id", "word", "ids").mapInArrow(pack, ANSWER), "word-ids")
+    words.drop()
+    release(spark)
     both = known.read().unionByName(asked.read().select("bucket", "chunk", "words", F.lit(None).cast("binary").alias("ids")))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
