@@ -90,7 +90,7 @@ def boxes_0_1000(words: DataFrame) -> DataFrame:
 def stub_labels(words: DataFrame) -> DataFrame:
     """doc_id, tokens, engine, model_name: every word is `other`."""
     token = F.struct("pos", "text", "x1", "y1", "x2", "y2", "box", F.lit("other").alias("label"), F.lit(0.0).alias("score"))
-    return boxes_0_1000(words.filter(F.trim("text") != "")).groupBy("doc_id").agg(F.array_sort(F.collect_list(token)).alias("tokens")).withColumns({"engine": F.lit("stub"), "model_name": F.lit(None).cast("string")})
+    return boxes_0_1000(words.filter(F.trim("text") != "")).groupBy("doc_id").agg(F.sort_array(F.collect_list(token)).alias("tokens")).withColumns({"engine": F.lit("stub"), "model_name": F.lit(None).cast("string")})
 
 
 def first_subtokens(predictions: DataFrame) -> DataFrame:

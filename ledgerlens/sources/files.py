@@ -131,5 +131,5 @@ def block_payloads(blocks: DataFrame) -> DataFrame:
 def ocr_payloads(words: DataFrame, engines: DataFrame | None = None) -> DataFrame:
     """OCR results as they are written: one row for each document; engines (doc_id, engine, engine_attempts) says whose they are."""
     word = F.struct("pos", "text", F.array("x1", "y1", "x2", "y2").alias("bbox"), *(["confidence"] if "confidence" in words.columns else []), "page_num", "block_num", "line_num", "word_num")
-    docs = words.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(word)), lambda w: w.dropFields("pos")).alias("words"), F.count("*").alias("word_count")).withColumn("source", F.col("doc_id"))
+    docs = words.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(word)), lambda w: w.dropFields("pos")).alias("words"), F.count("*").alias("word_count")).withColumn("source", F.col("doc_id"))
     return docs.join(engines.select("doc_id", "engine", "engine_attempts"), "doc_id", "left") if engines is not None else docs
