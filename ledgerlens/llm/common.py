@@ -143,6 +143,33 @@ def release(spark: SparkSession) -> None:
 
     gc.collect()  # Python's references to them
     spark.sparkContext._jvm.System.gc()
+    trim_driver(spark)
+
+
+def trim_driver(spark: SparkSession) -> bool:
+    """trim() for the driver's JVM: what its compiler and buffers have freed goes back to the system. False where the JVM
+    has no command for that (before Java 17.0.9, other systems than Linux)."""
+    from py4j.protocol import Py4JError
+
+    gateway = spark.sparkContext._gateway
+    java, javax = gateway.jvm.java, gateway.jvm.javax
+
+    def array(kind, *items):
+        out = gateway.new_array(kind, len(items))
+        for i, item in enumerate(items):
+            out[i] = item
+        return out
+
+    try:
+        named = java.lang.Class.forName
+        kinds = array(java.lang.Class, *map(named, ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")))
+        # by reflection on the interface, as Py4J doesn't see into the server's own class
+        invoke = named("javax.management.MBeanServer").getMethod("invoke", kinds)
+        command = javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        invoke.invoke(java.lang.management.ManagementFactory.getPlatformMBeanServer(), array(java.lang.Object, command, "systemTrimNativeHeap", array(java.lang.Object), array(java.lang.String)))
+    except Py4JError:
+        return False
+    return True
 
 
 def trim() -> None:

@@ -1,11 +1,12 @@
-"""Connected components by alternating large and small stars, written to the shared folder after each round."""
+"""Connected components by alternating large and small stars, each written to the shared folder: attach() names its rows three
+times, so a round in one query would have nine plans of what it reads, which the driver holds."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions
+from ledgerlens.llm.common import Scratch, partitions, release
 
 
 def attach(rows: DataFrame, key: str, spread: str, **aggregates: tuple[Column, str]) -> DataFrame:
@@ -29,12 +30,15 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     for _ in range(rounds):
         e = now.read()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = attach(both, "u", "v", m=least).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = attach(large, "u", "v", m=least)
+        large = Scratch(attach(both, "u", "v", m=least).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large")
+        small = attach(large.read(), "u", "v", m=least)
         after = Scratch(small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").filter("u <> v").distinct(), "edges")
         done = after.read().exceptAll(e).limit(1).count() == 0
         now.drop()
+        large.drop()
+        del e, both, large, small
         now = after
+        release(edges.sparkSession)  # the driver's heap stays near what it needs
         if done:
             e = now.read()
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

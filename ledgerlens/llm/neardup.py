@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD, Scratch, ascii_lower, groups, partitions
+from ledgerlens.llm.common import WORD, Scratch, ascii_lower, cut, groups, partitions, release
 from ledgerlens.llm.components import attach, components
 
 _WORD = re.compile(WORD)
@@ -202,6 +202,7 @@ def surviving(reps: DataFrame, least: list[tuple[int, int]], block: int = 8192)
     hits = attach(hits, "band", "rep", n=(F.lit(1), "sum"), members=(F.xxhash64("rep"), "bit_xor")).filter("n > 1")
     # bands whose buckets hold the same documents are one bucket
     bucket = hits.select("rep", F.concat_ws("-", F.col("members").cast("string"), F.col("n").cast("string")).alias("bucket")).dropDuplicates(["bucket", "rep"])
+    bucket = cut(bucket, "buckets")  # counted again below, and by attach() in three places
     rows = _block_pairs(bucket, "bucket", "rep", block).select("key", "rep").join(reps.select("rep", "signature"), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,14 +227,15 @@ def verify(docs: DataFrame, clusters: DataFrame, threshold: float, block: int =
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("least"), F.col("text").cast("string").alias("text")).join(clusters, "least")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
                 sets = shingles(batch.column(4).to_pylist())
                 own = pa.array([set_key(s) == key for s, key in zip(sets, batch.column(3).to_pylist(), strict=True)], pa.bool_())  # a doc_id may have other texts
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "component", "copies", "shingles"]).filter(own)
 
-    sets = texts.select("rep", "component", "copies", "set_key", "text").mapInArrow(cut, "rep long, component long, copies long, shingles binary").dropDuplicates(["rep"])
+    sets = texts.select("rep", "component", "copies", "set_key", "text").mapInArrow(shingled, "rep long, component long, copies long, shingles binary").dropDuplicates(["rep"])
+    sets = cut(sets, "sets")  # else shingled again for the counts
     rows = _block_pairs(sets, "component", "rep", block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +284,11 @@ def join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> Da
     near = components(surviving(reps, minima(threshold, tolerance)))
     clusters = near.withColumnRenamed("node", "rep").join(reps.select("rep", "copies", "least", "set_key"), "rep")
     verified = Scratch(verify(docs, clusters, threshold), "verified").read()
+    release(docs.sparkSession)
     classes = components(verified.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counted = verified.groupBy("rep").agg(F.sum("documents").alias("documents"), F.sum("texts").alias("texts"))
     named = attach(classes.join(reps.select(F.col("rep").alias("node"), "least"), "node"), "component", "node", class_id=(F.col("least"), "min")).select("node", "class_id")
+    named = cut(named, "named")
     facts = reps.select("set_key", "rep", "least", "copies").join(counted, "rep", "left").join(named, F.col("rep") == F.col("node"), "left")
     facts = facts.select("set_key", F.col("least").alias("copy_of"), F.coalesce("class_id", "least").alias("class_id"), F.col("copies").alias("n_copies"), (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"))
     rows = sketches.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))

@@ -325,6 +325,25 @@ def test_near_duplicates_in_small_blocks(spark):
     assert {r["component"] for r in components(edges).collect()} == {0} and components(edges).count() == 60
 
 
+def test_near_duplicates_have_small_plans(spark, docs, monkeypatch):
+    import sys
+
+    from ledgerlens.llm import common
+
+    seen = []
+
+    class Seen(common.Scratch):
+        def __init__(self, df, what):
+            seen.append((df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["), what))
+            super().__init__(df, what)
+
+    for module in (common, neardup, sys.modules["ledgerlens.llm.components"]):
+        monkeypatch.setattr(module, "Scratch", Seen)
+    neardup.join(docs)
+    assert max(seen)[0] <= 9, seen  # tables read by any query; each is a subtree that the driver plans
+    assert common.trim_driver(spark) in (True, False)
+
+
 def test_blocks_and_components(spark):
     sets = [np.unique(np.random.default_rng(i // 3).integers(0, 1 << 63, 50, dtype=np.uint64)[: 48 + i % 3]) for i in range(9)]
     got = neardup.linked(sets, np.arange(4), np.arange(4, 9), 0.8, room=20)
