@@ -529,7 +529,11 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bo
         words, ids, parts = None, None, []
         trim()
 
-    answers = both.repartition(n, "bucket").sortWithinPartitions("bucket", F.col("ids").isNull()).mapInArrow(answer, PART)
+    answers = Scratch(both.repartition(n, "bucket").sortWithinPartitions("bucket", F.col("ids").isNull()).mapInArrow(answer, PART), "answers")
+    del both
+    asked.drop()
+    known.drop()
+    release(spark)  # asks, words' ids and their shuffle are gone before the documents are shuffled
 
     def pack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -580,7 +584,7 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bo
         trim()
 
     schema = docs.select("*", F.lit(None).cast("array<int>").alias(ids_), *([F.lit(True).alias(trip_)] if check else [])).schema
-    return packed.unionByName(answers).repartition(n, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(put_together, schema)
+    return packed.unionByName(answers.read()).repartition(n, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(put_together, schema)
 
 
 KIND = "<u2"  # ids are below NONE

@@ -240,6 +240,15 @@ def test_lattice_equals_library(spark, docs, none, tmp_path):
         assert x["ids__"] == sp.encode(text) and x["decoded_"] == text.replace("\u2581", " ") and x["round_trip__"] and (x["ids_"], x["Chunk_"], x["round_trip_"]) == ("kept", 5, "too")
 
 
+def test_lattice_keeps_no_asks(spark, docs):
+    from ledgerlens.llm import common
+
+    before = len(common._written)
+    lattice.encode(docs.select("doc_id", "text"), lattice.load(public_tokenizers.path("piece_bpe_32k.model")))
+    kept = [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for _, path in common._written[before:]]
+    assert kept == ["docs", "answers"]
+
+
 def test_viterbi_fold(spark):
     pieces = [("<unk>", 0.0, 2), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), ("\u2581", -3.0, 1), *((c, -4.0, 1) for c in "abc"), ("ab", -5.0, 1), ("bc", -4.5, 1), ("abc", -9.1, 1), ("\u2581a", -5.5, 1)]
     model = lattice.Model(pieces, lattice.UNIGRAM, True)
