@@ -148,7 +148,7 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
     common = np.zeros((len(left), len(right)), dtype=np.float32)  # counts stay exact below 2**24
     at_left, at_right = np.full(len(sets), -1), np.full(len(sets), -1)
     at_left[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
-    chunk = max(1, room // max(1, len(sets)))
+    chunk = max(1, min(width, room // max(1, len(sets))))  # no wider than what a small cluster shares
     starts = np.searchsorted(column, np.arange(0, width + chunk, chunk))
     for k, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
         x = np.zeros((len(left), chunk), dtype=np.float32)

@@ -4,6 +4,8 @@ texts, ties, repeated rows and extra columns."""
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, decontaminate, fertility, html, langid, lattice, neardup, ngram_lm, pii, rans
+from ledgerlens.llm import chat, common, decontaminate, fertility, html, langid, lattice, neardup, ngram_lm, pii, rans
 from ledgerlens.llm.components import components
 
 WORDS = "the of and to in a is that for it on as with be was ledger page account total paper number river stone light garden window".split()
@@ -312,6 +314,16 @@ def test_near_duplicates(spark, docs, none):
     assert kept.filter("doc_id is not null").count() == len({d for d, _ in data if d is not None and least[d] == d}) and kept.filter("doc_id is null").count() == 1
 
 
+def test_small_clusters_take_little_room():
+    sets = [np.arange(100, dtype=np.uint64), np.arange(10, 110, dtype=np.uint64), np.arange(900, 950, dtype=np.uint64)]
+    tracemalloc.start()
+    links = neardup.linked(sets, np.arange(3), np.arange(3), 0.8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links[0, 1] and links[1, 0] and not links[2, :2].any() and not links[:2, 2].any() and most < 1e6
+    assert not neardup.linked(sets[1:], np.arange(2), np.arange(2), 0.8)[0, 1]  # nothing shared
+
+
 def test_near_duplicates_of_one_id(spark):
     """Different texts under one doc_id keep their own links."""
     a, b = prose(70, 100), prose(71, 100)
