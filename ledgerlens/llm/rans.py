@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, partitions, scratch_path, slices
+from ledgerlens.llm.common import Scratch, partitions, scratch_path, slices, strings
 
 BITS = 18  # the frequencies of a table sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states are at least LOW and below LOW << 32
@@ -244,7 +244,7 @@ class Encoder:
             return out
         edges = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         coded = parts.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy(), strings(coded.dictionary)
         self.learn(set(words))
         first = edges[:-1]  # no space before these
         ids = [*map(self.seen.__getitem__, words), *self.whole([words[c] for c in codes[first].tolist()])]

@@ -75,6 +75,16 @@ def test_rans_files(docs, none):
     assert rans.op1(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_strings_are_cheap():
+    texts = pa.array([*(f"word{i}" for i in range(300_000)), "", "naïve 東京 \U0001f600"])
+    took = []
+    for f in (common.strings, pa.Array.to_pylist):
+        began = time.thread_time()
+        assert f(texts)[-2:] == ["", "naïve 東京 \U0001f600"]
+        took.append(time.thread_time() - began)
+    assert took[0] < took[1] / 2 and common.strings(texts) == texts.to_pylist()
+
+
 def test_rans_white_space():
     from tokenizers import Tokenizer
 
