@@ -147,6 +147,7 @@ def release(spark: SparkSession) -> None:
     import gc
 
     gc.collect()  # Python's references to them
+    shrink_executors(spark)  # first, as Spark's threads hold on to the last query
     spark.sparkContext._jvm.System.gc()
     trim_driver(spark)
 
@@ -177,6 +178,12 @@ def trim_driver(spark: SparkSession) -> bool:
     return True
 
 
+def shrink_executors(spark: SparkSession) -> None:
+    """Collect the executors' garbage, which also makes their heaps smaller: else each holds what its largest stage so far
+    took beside the Python workers of the next one. A task for each core, so that no executor is left out while all wait."""
+    spark.range(0, (n := spark.sparkContext.defaultParallelism), 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 def trim() -> None:
     """Give freed memory back to the system: a worker that waits for its next task holds none of the last one's."""
     import ctypes

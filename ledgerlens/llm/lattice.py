@@ -556,16 +556,17 @@ def encode(docs: DataFrame, model: Model, chunk_bytes: int = 32 << 20, check: bo
         fixed = pa.array(["", *ENDS]), Ids(np.concatenate(fixed), np.array([len(x) for x in fixed]))
         chunk, words, ids, parts = None, None, None, []
         for batch in batches:
-            for now, kind, a, b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            # payloads stay in the batch, which may be a whole partition's
+            for now, kind, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if now != chunk:
                     chunk, words, parts = now, None, [fixed]
                 if kind == 0:  # these come first
-                    own = _unpack_words(a)
-                    parts.append((own, Ids.unpack(b, len(own))))
+                    own = _unpack_words(a.as_buffer())
+                    parts.append((own, Ids.unpack(b.as_buffer(), len(own))))
                     continue
                 if words is None:
                     words, ids, parts = pa.concat_arrays([w for w, _ in parts]), Ids.all([i for _, i in parts]), []
-                for whole in pa.ipc.open_stream(_unpack(a)):
+                for whole in pa.ipc.open_stream(_unpack(a.as_buffer())):
                     cut = cutter(whole.column(at_text + 1))
                     own = cut.flatten().dictionary_encode()
                     codes = pc.index_in(own.dictionary, words).to_numpy(zero_copy_only=False).astype(np.int64)[own.indices.to_numpy()]

@@ -261,6 +261,14 @@ def test_lattice_keeps_no_asks(spark, docs):
     assert kept == ["docs", "answers"]
 
 
+def test_release_reaches_executors(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    collected = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName())
+    before = collected()
+    common.release(spark)
+    assert collected() - before >= 2  # the driver's own, and the executor's, which is the same JVM here
+
+
 def test_viterbi_fold(spark):
     pieces = [("<unk>", 0.0, 2), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), ("\u2581", -3.0, 1), *((c, -4.0, 1) for c in "abc"), ("ab", -5.0, 1), ("bc", -4.5, 1), ("abc", -9.1, 1), ("\u2581a", -5.5, 1)]
     model = lattice.Model(pieces, lattice.UNIGRAM, True)
