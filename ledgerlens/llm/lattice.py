@@ -162,9 +162,15 @@ def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
 
-def _masked(x: Column) -> Column:
-    """An edge with the bits of its ends, `both`, and of the places between, `inner`."""
-    return F.struct(x.alias("x"), _bit(_start(x)).bitwiseOR(_bit(_end(x))).alias("both"), (_bit(_end(x)) - F.shiftleft(_bit(_start(x)), 1)).alias("inner"))
+def _wide(lattice: Column) -> Column:
+    """Edges of more than one character with the bits of their start, `s`, and end, `e`."""
+    with_bits = F.transform(lattice, lambda x: F.struct(x.alias("x"), _bit(_start(x)).alias("s"), _bit(_end(x)).alias("e")))
+    return F.filter(with_bits, lambda x: x["e"] > F.shiftleft(x["s"], 1))
+
+
+def _inner(x: Column) -> Column:
+    """The bits of the places between an edge's ends."""
+    return x["e"] - F.shiftleft(x["s"], 1)
 
 
 ODD = 1 << 62  # a bit beyond all bounds
@@ -178,7 +184,8 @@ def _merge_fold(wide: Column, n: Column) -> Column:
     """
 
     def step(bounds: Column, x: Column) -> Column:
-        return F.when(bounds.bitwiseAND(x["both"]) != x["both"], bounds).when(F.bit_count(bounds.bitwiseAND(x["inner"])) == 1, bounds.bitwiseAND(F.bitwise_not(x["inner"]))).otherwise(bounds.bitwiseOR(F.lit(ODD)))
+        ends = (bounds.bitwiseAND(x["s"]) != 0) & (bounds.bitwiseAND(x["e"]) != 0)
+        return F.when(~ends, bounds).when(F.bit_count(bounds.bitwiseAND(_inner(x))) == 1, bounds.bitwiseAND(F.bitwise_not(_inner(x)))).otherwise(bounds.bitwiseOR(F.lit(ODD)))
 
     return F.aggregate(wide, _every(n), step)
 
@@ -191,8 +198,8 @@ def _exact_merge_fold(wide: Column, n: Column) -> Column:
     """As above, looking at all edges again after each merge."""
 
     def step(bounds: Column, _: Column) -> Column:
-        fits = lambda x: (bounds.bitwiseAND(x["both"]) == x["both"]) & (F.bit_count(bounds.bitwiseAND(x["inner"])) == 1)
-        return bounds.bitwiseAND(F.bitwise_not(F.coalesce(F.get(F.filter(wide, fits), F.lit(0))["inner"], F.lit(0).cast("long"))))
+        fits = lambda x: (bounds.bitwiseAND(x["s"]) != 0) & (bounds.bitwiseAND(x["e"]) != 0) & (F.bit_count(bounds.bitwiseAND(_inner(x))) == 1)
+        return bounds.bitwiseAND(F.bitwise_not(F.coalesce(_inner(F.get(F.filter(wide, fits), F.lit(0))), F.lit(0).cast("long"))))
 
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), _every(n), step)
 
@@ -213,8 +220,8 @@ def _viterbi_fold(lattice: Column, n: Column, costs: list[float]) -> Column:
     return F.aggregate(F.aggregate(F.sequence(F.lit(1), n), F.array(n), back), F.lit(0).cast("long"), lambda bits, i: bits.bitwiseOR(_bit(i)))
 
 
-def _ids(word: Column, lattice: Column, bounds: Column, model: Model) -> Column:
-    """Ids of the edges between neighbouring bounds; bytes where there is no piece."""
+def _ids(word: Column, lattice: Column, wide: Column, bounds: Column, model: Model) -> Column:
+    """Ids of the edges between neighbouring bounds; bytes where there is no piece. wide: the lattice's wide edges with bits."""
     byte_ids = F.array(*map(F.lit, model.byte_ids))
     # the bits from start to end, of which both ends alone are bounds
     between = lambda x: F.call_function("shiftright", bounds, _start(x)).bitwiseAND(F.shiftleft(_bit(_end(x) - _start(x)), 1) - 1) == _bit(_end(x) - _start(x)).bitwiseOR(F.lit(1))
@@ -231,8 +238,8 @@ def _ids(word: Column, lattice: Column, bounds: Column, model: Model) -> Column:
     letter = lambda i: F.substring(word, i + 1, F.lit(1))
     single = lambda i: F.when(letter(i) == MARK, F.lit(model.table.get(MARK, (0, NONE))[1])).otherwise(F.get(ascii_ids, F.ascii(letter(i))))
     alone = F.filter(F.sequence(F.lit(0), F.length(word) - 1), lambda i: F.call_function("shiftright", bounds, i).bitwiseAND(F.lit(3)) == 3)
-    taken = F.filter(lattice, lambda x: (_end(x) - _start(x) > 1) & between(x))
-    plain = F.array_sort(F.concat(F.transform(taken, placed), F.transform(alone, lambda i: F.shiftleft(i, 16) + single(i))))
+    taken = F.filter(wide, lambda x: bounds.bitwiseAND(x["e"] + x["e"] - x["s"]) == x["s"] + x["e"])  # of the bits from start to end, the ends alone
+    plain = F.array_sort(F.concat(F.transform(taken, lambda x: placed(x["x"])), F.transform(alone, lambda i: F.shiftleft(i, 16) + single(i))))
     return F.when(_plain(word, model), F.transform(plain, lambda x: x.bitwiseAND(NONE))).otherwise(F.flatten(F.transform(ordered, one)))
 
 
@@ -274,14 +281,13 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
     """(id, word, ids) for different words (id, word); ids are null where a word has over FOLD characters: see long_ids."""
     # a word has some 20 edges, which are sorted: smaller partitions than those of words
     short = words.filter(F.length("word") <= FOLD).repartition(4 * partitions(words.sparkSession), "id")
-    lattice = edges(short, model)
+    lattice = edges(short, model).withColumn("wide", _wide(F.col("edges")))
     if model.kind == BPE:
-        wide = F.transform(F.filter("edges", lambda x: _end(x) - _start(x) > 1), _masked)
-        once = lattice.withColumn("wide", wide).withColumn("once", _merge_fold(F.col("wide"), F.length("word")))
+        once = lattice.withColumn("once", _merge_fold(F.col("wide"), F.length("word")))
         bounded = once.withColumn("bounds", F.when(F.col("once") < ODD, F.col("once")).otherwise(_exact_merge_fold(F.col("wide"), F.length("word"))))
     else:
         bounded = lattice.withColumn("bounds", _viterbi_fold(F.col("edges"), F.length("word"), orders(model)[1]))
-    folded = bounded.select("id", "word", _ids(F.col("word"), F.col("edges"), F.col("bounds"), model).alias("ids"))
+    folded = bounded.select("id", "word", _ids(F.col("word"), F.col("edges"), F.col("wide"), F.col("bounds"), model).alias("ids"))
     return folded.unionByName(words.filter(F.length("word") > FOLD).select("id", "word", F.lit(None).cast("array<int>").alias("ids")))
 
 

@@ -269,6 +269,23 @@ def test_release_reaches_executors(spark):
     assert collected() - before >= 2  # the driver's own, and the executor's, which is the same JVM here
 
 
+def test_lattice_keeps_no_shuffles(spark, docs):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.endswith(".data")}
+
+    docs.count()
+    common.release(spark)
+    time.sleep(2)
+    before = shuffles()
+    done = lattice.encode(docs.select("doc_id", "text"), lattice.load(public_tokenizers.path("piece_bpe_32k.model")))  # not run yet
+    for _ in range(20):  # Spark deletes them in a thread of its own
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.5)
+    assert not left and done.count() == docs.count()
+
+
 def test_viterbi_fold(spark):
     pieces = [("<unk>", 0.0, 2), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), ("\u2581", -3.0, 1), *((c, -4.0, 1) for c in "abc"), ("ab", -5.0, 1), ("bc", -4.5, 1), ("abc", -9.1, 1), ("\u2581a", -5.5, 1)]
     model = lattice.Model(pieces, lattice.UNIGRAM, True)
