@@ -16,7 +16,6 @@ whole.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,24 +23,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, ascii_lower, unused
+from ledgerlens.llm.common import Scratch, strings, unused
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A-Z to a-z, and a space for every byte outside words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+; all bytes of a character beyond ASCII are inside.
+_FOLD = bytes(b if b > 0x7F or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 FOUND = "n_words long, spans array<int>, items array<string>"
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall(ascii_lower(text)) if text else []
+def words(text: str | bytes | None) -> list[bytes]:
+    """Folded words in UTF-8. Bytes, as str.translate takes about three times all the rest of a pass."""
+    if not text:
+        return []
+    return (text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")).translate(_FOLD).split()
 
 
-def windows(text: str | None, width: int = 10) -> set[tuple[str, ...]]:
+def encoded(texts: pa.Array) -> list[bytes | None]:
+    return strings(texts.cast(pa.large_binary()))
+
+
+def windows(text: str | None, width: int = 10) -> set[tuple[bytes, ...]]:
     w = words(text)
     return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def blocks(benchmark: DataFrame, width: int, block_windows: int) -> Iterator[dict[tuple[str, ...], set[str]]]:
+def blocks(benchmark: DataFrame, width: int, block_windows: int) -> Iterator[dict[tuple[bytes, ...], set[str]]]:
     """Windows with the ids of their items; no more than about block_windows at a time on the driver."""
-    held: dict[tuple[str, ...], set[str]] = {}
+    held: dict[tuple[bytes, ...], set[str]] = {}
     for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
         for w in windows(r["text"], width):
             held.setdefault(w, set()).add(r["item_id"] or "")
@@ -52,25 +59,25 @@ def blocks(benchmark: DataFrame, width: int, block_windows: int) -> Iterator[dic
         yield held
 
 
-def frequencies(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
+def frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     """In how many documents each word of the vocabulary (a block's words) occurs, over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = shared.value, Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in encoded(batch.column(0)):
                 seen.update(wanted.intersection(words(text)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r["word"]: r["n"] for r in counted.collect()}
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return {bytes(r["word"]): r["n"] for r in counted.collect()}
 
 
-Index = dict[str, list[tuple[list[str], int, tuple[str, ...]]]]
+Index = dict[bytes, list[tuple[list[bytes], int, tuple[str, ...]]]]
 
 
-def index(block: dict[tuple[str, ...], set[str]], frequency: dict[str, int]) -> Index:
+def index(block: dict[tuple[bytes, ...], set[str]], frequency: dict[bytes, int]) -> Index:
     """Windows by their rarest word: (words, position of that word, item ids). Windows with a word that no document has can't occur."""
     found: Index = {}
     for w, items in block.items():
@@ -82,7 +89,7 @@ def index(block: dict[tuple[str, ...], set[str]], frequency: dict[str, int]) ->
     return found
 
 
-def search(text_words: list[str], by_prefix: Index, prefixes: frozenset[str]) -> tuple[list[int], set[str]]:
+def search(text_words: list[bytes], by_prefix: Index, prefixes: frozenset[bytes]) -> tuple[list[int], set[str]]:
     """Spans (start, end, ...) of the windows that occur, and their items."""
     spans: set[tuple[int, int]] = set()
     items: set[str] = set()
@@ -112,7 +119,7 @@ def mark(docs: DataFrame, by_prefix: Index, name: str = "leaks_", again: bool =
             names = batch.schema.names
             before = batch.column(names.index(name)).to_pylist() if again else None
             out = []
-            for i, text in enumerate(batch.column(names.index("text")).to_pylist()):
+            for i, text in enumerate(encoded(batch.column(names.index("text")))):
                 w = words(text)
                 spans, items = search(w, by_prefix, prefixes)
                 if before:
